@@ -26,4 +26,4 @@ def query(name: str, sql: str | None = None) -> Callable[[QueryFn], QueryFn]:
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from tallyhouse.registry import sales  # noqa: F401
+    from tallyhouse.registry import listings, sales  # noqa: F401
