@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 ALERT_HOURS = 26
 REJECT_RATE_LIMIT = 0.01
@@ -90,30 +90,29 @@ def slow_runs(durations: DataFrame) -> DataFrame:
     """Runs lasting over twice the median of the workflow's previous 7 days.
 
     ``durations`` holds (run_id, workflow, started_at, seconds), one row per
-    run. Each run is handed to the 7 following days by an equi-join on the
-    day, so a workflow with most of the runs is spread over its days instead
-    of passing through one window task.
+    run. Every run is copied into its own 7-day bucket and into the next one
+    as history, which is all a trailing week can need; the sliding median then
+    runs per (workflow, bucket), so one busy workflow is spread over time
+    instead of passing through a single window task.
     """
-    micros = F.unix_micros("started_at")
     week = TRAILING_DAYS * 86_400_000_000
-    day = F.floor(micros / F.lit(86_400_000_000)).cast("bigint")
-    runs = durations.select("run_id", "workflow", "started_at", "seconds", micros.alias("at"), day.alias("day"))
-    earlier = runs.select(
+    micros = F.unix_micros("started_at")
+    bucket = F.floor(micros / F.lit(week)).cast("bigint")
+    copies = durations.select(
+        "run_id",
         "workflow",
-        F.col("seconds").alias("earlier_seconds"),
-        F.col("at").alias("earlier_at"),
-        F.explode(F.sequence("day", F.col("day") + TRAILING_DAYS)).alias("day"),
+        "started_at",
+        "seconds",
+        micros.alias("at"),
+        bucket.alias("own"),
+        F.explode(F.array(bucket, bucket + 1)).alias("bucket"),
     )
-    in_window = (F.col("earlier_at") < F.col("at")) & (F.col("earlier_at") >= F.col("at") - week)
-    medians = (
-        runs.select("run_id", "workflow", "at", "day")
-        .join(earlier, ["workflow", "day"])
-        .filter(in_window)
-        .groupBy("run_id")
-        .agg(F.percentile("earlier_seconds", 0.5).alias("trailing_median"))
+    trailing = (
+        Window.partitionBy("workflow", "bucket").orderBy("at").rangeBetween(-week, -1)
     )
     return (
-        runs.join(medians, "run_id", "left")
+        copies.withColumn("trailing_median", F.percentile("seconds", 0.5).over(trailing))
+        .filter(F.col("own") == F.col("bucket"))
         .select("run_id", "workflow", "started_at", "seconds", "trailing_median")
         .withColumn(
             "alert",
