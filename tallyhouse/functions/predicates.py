@@ -36,9 +36,8 @@ def not_blank(text: Column) -> Column:
     return text.isNotNull() & (F.length(text) > 0)
 
 
-def positive_integer(value: Column) -> Column:
-    """Positive, integral and inside the 64-bit range."""
-    return (value > 0) & (value == F.floor(value)) & value.try_cast("bigint").isNotNull()
+def positive(value: Column) -> Column:
+    return value.isNotNull() & (value > 0)
 
 
 def not_negative(value: Column) -> Column:

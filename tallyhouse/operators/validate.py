@@ -21,6 +21,9 @@ POSITION = "_position"
 # Source totals may differ from price x quantity - discount by rounding only.
 TOTAL_TOLERANCE = "0.011"
 
+# Integer columns whose source may carry decimals, rounded on storing.
+ROUNDED = ("inventory_count",)
+
 Values = dict[str, Column]
 Rules = list[tuple[str, Column]]
 
@@ -31,19 +34,19 @@ def _fits_int(value: Column) -> Column:
 
 def _category_rules(v: Values) -> Rules:
     return [
-        ("category_id_invalid", p.positive_integer(v["category_id"])),
+        ("category_id_invalid", p.positive(v["category_id"])),
         ("name_blank", p.not_blank(v["name"])),
-        ("parent_id_invalid", p.null_or(v["parent_id"], p.positive_integer(v["parent_id"]))),
+        ("parent_id_invalid", p.null_or(v["parent_id"], p.positive(v["parent_id"]))),
         ("parent_is_self", p.null_or(v["parent_id"], v["parent_id"] != v["category_id"])),
     ]
 
 
 def _product_rules(v: Values) -> Rules:
     return [
-        ("product_id_invalid", p.positive_integer(v["product_id"])),
+        ("product_id_invalid", p.positive(v["product_id"])),
         ("name_blank", p.not_blank(v["name"])),
         ("sku_blank", p.not_blank(v["sku"])),
-        ("category_id_invalid", p.positive_integer(v["category_id"])),
+        ("category_id_invalid", p.positive(v["category_id"])),
         ("price_invalid", p.not_negative(v["price"])),
         ("cost_invalid", p.null_or(v["cost"], v["cost"] >= 0)),
         ("inventory_invalid", (v["inventory_count"] >= 0) & _fits_int(v["inventory_count"])),
@@ -53,7 +56,7 @@ def _product_rules(v: Values) -> Rules:
 
 def _customer_rules(v: Values) -> Rules:
     return [
-        ("customer_id_invalid", p.positive_integer(v["customer_id"])),
+        ("customer_id_invalid", p.positive(v["customer_id"])),
         ("email_invalid", v["email"].rlike(p.EMAIL_SHAPE)),
         ("first_name_blank", p.not_blank(v["first_name"])),
         ("last_name_blank", p.not_blank(v["last_name"])),
@@ -67,8 +70,8 @@ def _customer_rules(v: Values) -> Rules:
 
 def _order_rules(v: Values) -> Rules:
     return [
-        ("order_id_invalid", p.positive_integer(v["order_id"])),
-        ("customer_id_invalid", p.positive_integer(v["customer_id"])),
+        ("order_id_invalid", p.positive(v["order_id"])),
+        ("customer_id_invalid", p.positive(v["customer_id"])),
         ("order_date_invalid", v["order_date"].isNotNull()),
         ("status_unknown", v["status"].isin(*p.ORDER_STATUSES)),
         ("payment_method_unknown", v["payment_method"].isin(*p.PAYMENT_METHODS)),
@@ -94,11 +97,11 @@ def _item_rules(v: Values) -> Rules:
     )
     discount = v["discount"].try_cast("decimal(10,2)")
     return [
-        ("order_item_id_invalid", p.positive_integer(v["order_item_id"])),
-        ("order_id_invalid", p.positive_integer(v["order_id"])),
-        ("product_id_invalid", p.positive_integer(v["product_id"])),
+        ("order_item_id_invalid", p.positive(v["order_item_id"])),
+        ("order_id_invalid", p.positive(v["order_id"])),
+        ("product_id_invalid", p.positive(v["product_id"])),
         ("order_date_invalid", v["order_date"].isNotNull()),
-        ("quantity_invalid", p.positive_integer(v["quantity"]) & _fits_int(v["quantity"])),
+        ("quantity_invalid", p.positive(v["quantity"]) & _fits_int(v["quantity"])),
         ("unit_price_invalid", p.not_negative(v["unit_price"])),
         ("discount_invalid", (discount >= 0) & (discount <= gross)),
     ]
@@ -121,23 +124,35 @@ def _parse(field: Field) -> Column:
         return parsing.boolean(text)
     if field.type == "timestamp":
         return parsing.timestamp(text)
+    if field.type in ("bigint", "int") and field.name not in ROUNDED:
+        return parsing.whole(text)
     return parsing.number(text)
 
 
-def _defaults(entity: Entity, values: Values) -> None:
-    """Missing values that have a meaning, and the one case-folded column."""
+def _stored(field: Field, value: Column) -> Column:
+    """The value in its column type; null when it does not fit."""
+    if field.type in ("string", "boolean", "timestamp"):
+        return value
+    if field.name in ROUNDED:
+        value = F.bround(value, 0)
+    return value.try_cast(field.type)
+
+
+def _parsed(entity: Entity) -> Values:
+    """Parsed value per field, with the defaults and the one case-folded column.
+
+    As everywhere in the rules, text that is no number counts as missing.
+    """
+    values = {f.name: _parse(f) for f in entity.fields}
+    zero = F.lit(0).cast(parsing.NUMBER)
     if entity.name == "products":
         values["is_active"] = F.coalesce(values["is_active"], F.lit(True))
-        raw = F.col("inventory_count")
-        values["inventory_count"] = F.when(
-            raw.isNull(), F.lit(0).cast(parsing.NUMBER)
-        ).otherwise(values["inventory_count"])
+        values["inventory_count"] = F.coalesce(values["inventory_count"], zero)
     elif entity.name == "customers":
         values["email"] = F.lower(values["email"])
     elif entity.name == "order_items":
-        values["discount"] = F.when(
-            F.col("discount").isNull(), F.lit(0).cast(parsing.NUMBER)
-        ).otherwise(values["discount"])
+        values["discount"] = F.coalesce(values["discount"], zero)
+    return values
 
 
 def _storage_rules(entity: Entity, values: Values) -> Rules:
@@ -176,27 +191,24 @@ def classify(entity: Entity, raw: DataFrame) -> DataFrame:
     A value that did not parse is null in the typed column; the text in
     ``_raw`` keeps what the source said, for inspection and replay.
     """
-    values = {f.name: _parse(f) for f in entity.fields}
-    _defaults(entity, values)
-    reason = p.first_failure(rules_for(entity, values))
-    typed = [
-        values[f.name].try_cast(f.type).alias(f.name)
-        if f.type not in ("string", "boolean", "timestamp")
-        else values[f.name].alias(f.name)
-        for f in entity.fields
-    ]
     source = [c for c in entity.source_columns if c in raw.columns]
+    has_total = "total" in entity.check_only and "total" in raw.columns
     extra = [F.col(POSITION)] if POSITION in raw.columns else []
+
+    # Parse once into a first projection. The values are used several times,
+    # so Catalyst keeps the projections apart instead of parsing again per use.
+    parsed = [value.alias(f"_v_{name}") for name, value in _parsed(entity).items()]
+    if has_total:
+        parsed.append(parsing.number(F.col("total")).alias("_v_total"))
+    wide = raw.select(*parsed, F.struct(*source).alias(RAW), *extra)
+
+    values = {f.name: F.col(f"_v_{f.name}") for f in entity.fields}
+    typed = [_stored(f, values[f.name]).alias(f.name) for f in entity.fields]
+    reason = p.first_failure(rules_for(entity, values))
     if "total" in entity.check_only:
-        flag = (
-            total_mismatch(values, parsing.number(F.col("total")))
-            if "total" in raw.columns
-            else F.lit(False)
-        )
+        flag = total_mismatch(values, F.col("_v_total")) if has_total else F.lit(False)
         extra.append(flag.alias(MISMATCH))
-    return raw.select(
-        *typed, F.struct(*source).alias(RAW), reason.alias(REASON), *extra
-    )
+    return wide.select(*typed, RAW, reason.alias(REASON), *extra)
 
 
 def accepted(classified: DataFrame) -> DataFrame:
