@@ -26,4 +26,11 @@ def query(name: str, sql: str | None = None) -> Callable[[QueryFn], QueryFn]:
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from tallyhouse.registry import cleaning, listings, sales, structure  # noqa: F401
+    from tallyhouse.registry import (  # noqa: F401
+        cleaning,
+        health,
+        listings,
+        loading,
+        sales,
+        structure,
+    )
