@@ -29,6 +29,7 @@ def load_all() -> None:
     from tallyhouse.registry import (  # noqa: F401
         cleaning,
         health,
+        jobs,
         listings,
         loading,
         sales,

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyhouse.functions.predicates import revenue_bearing
+from tallyhouse.model import Entity
 from tallyhouse.session import use_utc
 
 
@@ -224,3 +225,28 @@ def sold_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(paying, F.col("l_orderkey") == F.col("o_orderkey"))
         .select(*_line_columns())
     )
+
+
+def source_text(entity: Entity, rows: DataFrame) -> DataFrame:
+    """Typed entity rows as a source would state them: text, ISO timestamps."""
+
+    def text(column: str, kind: str) -> Column:
+        if kind == "timestamp":
+            return F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss")
+        return F.col(column).cast("string")
+
+    columns = [text(f.name, f.type).alias(f.header) for f in entity.fields]
+    if "total" in entity.check_only:
+        columns.append(F.col("line_revenue").cast("string").alias("total"))
+    return rows.select(*columns)
+
+
+def entity_rows(entity: Entity, spark: SparkSession, sf_dir: str) -> DataFrame:
+    readers = {
+        "product_categories": categories,
+        "products": products,
+        "customers": customers,
+        "orders": orders,
+        "order_items": order_items,
+    }
+    return readers[entity.name](spark, sf_dir)
