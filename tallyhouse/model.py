@@ -42,6 +42,7 @@ class Entity:
     unique: tuple[str, ...] = ()  # natural keys besides the primary key
     month_of: str | None = None  # timestamp that decides the month partition
     tracks_updates: bool = True  # carries updated_at
+    cluster_by: tuple[str, ...] = ()  # order within files, for min/max pruning
 
     @property
     def columns(self) -> list[str]:
@@ -138,6 +139,7 @@ ORDERS = Entity(
     references=(Reference(("customer_id",), "customers", ("customer_id",)),),
     watermark="order_date",
     month_of="order_date",
+    cluster_by=("customer_id",),
 )
 
 ORDER_ITEMS = Entity(
@@ -160,6 +162,7 @@ ORDER_ITEMS = Entity(
     check_only=("total",),
     month_of="order_date",
     tracks_updates=False,
+    cluster_by=("order_id",),
 )
 
 # Parents before children.

@@ -100,10 +100,14 @@ def new_months(declared: DataFrame, start_end: DataFrame) -> DataFrame:
 
 
 def undeclared_rows(df: DataFrame, moment: str, declared: DataFrame) -> DataFrame:
-    """Rows per month outside every declared month."""
-    per_month = df.groupBy(F.trunc(moment, "month").cast("date").alias("month_start")).agg(
-        F.count(F.lit(1)).alias("row_count")
+    """Rows per month outside every declared month. A month partition column
+    answers without reading the timestamps."""
+    month = (
+        F.concat("month", F.lit("-01")).cast("date")
+        if "month" in df.columns
+        else F.trunc(moment, "month")
     )
+    per_month = df.groupBy(month.alias("month_start")).agg(F.count(F.lit(1)).alias("row_count"))
     return per_month.join(declared, "month_start", "left_anti")
 
 

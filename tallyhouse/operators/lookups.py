@@ -82,11 +82,17 @@ def nested_order_page(
 def order_lines_flat(orders: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
     """The same nesting for any number of orders: one row per order and line,
     with the line as a struct that is null for an order without lines."""
+    keys = ["order_id", "order_date"]
     line = items.join(products.select("product_id", "name"), "product_id", "left").select(
-        "order_id",
-        "order_date",
+        *keys,
         F.struct(
             "order_item_id", "product_id", F.col("name").alias("product_name"), "quantity", "line_revenue"
         ).alias("item"),
     )
-    return orders.join(line, ["order_id", "order_date"], "left")
+    # An inner join can be split on both sides when one order is hot; a left
+    # join from orders could not split the lines.
+    with_lines = orders.join(line, keys)
+    without = orders.join(items.select(*keys).distinct(), keys, "left_anti").withColumn(
+        "item", F.lit(None).cast(line.schema["item"].dataType)
+    )
+    return with_lines.unionByName(without)

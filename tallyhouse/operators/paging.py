@@ -42,16 +42,23 @@ def sort_columns(
     return [first, F.col(tiebreak).asc()]
 
 
-def page(df: DataFrame, order: list[Column], limit: int, offset: int) -> DataFrame:
+def page(
+    df: DataFrame,
+    order: list[Column],
+    limit: int,
+    offset: int,
+    counted: DataFrame | None = None,
+) -> DataFrame:
     """One page with ``total_count`` and ``has_next_page`` beside each row.
 
     The total is a scalar subquery over the same rows with every column but
     the needed ones pruned; a window over all rows would go through one task.
-    The sort and limit plan as a distributed top-k. A page past the end is
-    empty, so it shows no total.
+    ``counted`` may name a cheaper frame with as many rows as ``df``. The sort
+    and limit plan as a distributed top-k. A page past the end is empty, so it
+    shows no total.
     """
     limit, offset = clamp_page(limit, offset)
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    total = (df if counted is None else counted).agg(F.count(F.lit(1)).alias("n")).scalar()
     return (
         df.orderBy(*order)
         .offset(offset)

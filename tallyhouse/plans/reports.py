@@ -230,8 +230,12 @@ def customers_page(
     descending: bool = True,
     limit: int = 50,
     offset: int = 0,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
-    return page(customers, sort_columns(sort, CUSTOMER_SORTS, descending, "customer_id"), limit, offset)
+    """``counted`` may be the customer master under the same filters: metrics
+    add no rows, so the total need not join them."""
+    order = sort_columns(sort, CUSTOMER_SORTS, descending, "customer_id")
+    return page(customers, order, limit, offset, counted)
 
 
 def product_list(

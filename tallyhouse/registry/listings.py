@@ -79,7 +79,10 @@ def recent_orders_per_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     with_parts(page_sql(SUMMARY_SQL, "lifetime_value DESC NULLS LAST, customer_id", 40, 10), "e_metrics"),
 )
 def customers_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(reports.customers_page(summary(spark, sf_dir), limit=40, offset=10))
+    listed = reports.customers_page(
+        summary(spark, sf_dir), limit=40, offset=10, counted=sample.customers(spark, sf_dir)
+    )
+    return plain(listed)
 
 
 @query(

@@ -51,6 +51,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/tallyhouse/{label}-{uuid.uuid4().hex}"
 
 
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Delete one scratch folder after use; other paths are refused."""
+    if not path.startswith(f"{shared_dir(spark)}/tallyhouse/"):
+        raise ValueError(f"not a scratch path: {path}")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives the loss of any executor."""
     spark = df.sparkSession

@@ -104,7 +104,12 @@ class Warehouse:
         return F.pmod(F.xxhash64(key), F.lit(self.shards)).cast("int")
 
     def replace_partitions(
-        self, table: str, df: DataFrame, column: str, counts: dict[str, Column] | None = None
+        self,
+        table: str,
+        df: DataFrame,
+        column: str,
+        counts: dict[str, Column] | None = None,
+        cluster_by: tuple[str, ...] = (),
     ) -> dict[str, int]:
         """Replace the partitions present in ``df``, counting rows on the way.
 
@@ -115,6 +120,8 @@ class Warehouse:
         above every shuffle, where a task counts once however often it is tried.
         """
         out = df.hint("rebalance", F.col(column))
+        if cluster_by:
+            out = out.sortWithinPartitions(column, *cluster_by)
         seen = Observation()
         if counts:
             out = out.observe(seen, *[c.alias(name) for name, c in counts.items()])
