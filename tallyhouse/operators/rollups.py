@@ -44,24 +44,27 @@ def daily_sales(lines: DataFrame, products: DataFrame) -> DataFrame:
 
     The sums combine map-side, so a hot product or day costs one partial row
     per task. ``order_count`` is exact: Spark de-duplicates (day, product,
-    order) first and counts second, again with partial aggregation.
+    order) first and counts second, again with partial aggregation. Net is
+    gross less discount, as line revenue is derived from the same columns.
     """
+    in_cents = {
+        "gross_revenue": F.sum("gross"),
+        "discount_total": F.sum("discount"),
+        "net_revenue": F.sum("gross") - F.sum("discount"),
+    }
     per_day = (
         lines.select(
             F.to_date("order_date").alias("sale_date"),
             "product_id",
             "quantity",
-            cents(F.col("unit_price") * F.col("quantity")).alias("gross"),
+            (cents(F.col("unit_price")) * F.col("quantity")).alias("gross"),
             cents(F.col("discount")).alias("discount"),
-            cents(F.col("line_revenue")).alias("net"),
             "order_id",
         )
         .groupBy("sale_date", "product_id")
         .agg(
             F.sum(F.col("quantity").cast("bigint")).alias("units_sold"),
-            from_cents(F.sum("gross")).alias("gross_revenue"),
-            from_cents(F.sum("discount")).alias("discount_total"),
-            from_cents(F.sum("net")).alias("net_revenue"),
+            *[from_cents(total).alias(name) for name, total in in_cents.items()],
             F.count_distinct("order_id").cast("int").alias("order_count"),
         )
     )

@@ -47,6 +47,10 @@ def compare(spark, con, name: str, sf_dir: str, queries: dict, oracles: dict) ->
     """Empty when equal, else a description of the first difference."""
     df = queries[name](spark, sf_dir)
     got = _rows(df.columns, [tuple(r) for r in df.collect()])
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python"):
+        if node in plan:
+            return f"plan contains {node}"
     if name not in oracles:
         return "" if got else "no rows"
     result = con.execute(oracles[name])
