@@ -86,6 +86,14 @@ def reject_rates(history: DataFrame) -> DataFrame:
     ).withColumn("alert", F.coalesce(F.col("reject_rate") > REJECT_RATE_LIMIT, F.lit(False)))
 
 
+def run_durations(history: DataFrame) -> DataFrame:
+    """(run_id, workflow, started_at, seconds) of finished runs."""
+    micros = F.unix_micros("finished_at") - F.unix_micros("started_at")
+    return history.filter(F.col("finished_at").isNotNull()).select(
+        "run_id", "workflow", "started_at", (micros / F.lit(1_000_000.0)).alias("seconds")
+    )
+
+
 def slow_runs(durations: DataFrame) -> DataFrame:
     """Runs lasting over twice the median of the workflow's previous 7 days.
 

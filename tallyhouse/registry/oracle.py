@@ -52,7 +52,6 @@ PARTS = {
         SELECT order_id, customer_id, order_date, status, payment_method, shipping_address,
                'Springfield' AS shipping_city, 'IL' AS shipping_state, '62701' AS shipping_zip,
                'USA' AS shipping_country,
-               order_date + INTERVAL 1 DAY AS processing_base,
                CASE WHEN status IN ('Shipped', 'Delivered', 'Returned', 'Processing')
                     THEN order_date + INTERVAL 1 DAY END AS processing_date,
                CASE WHEN status IN ('Shipped', 'Delivered', 'Returned')

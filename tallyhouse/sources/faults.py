@@ -160,7 +160,7 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         sample.table(spark, sf_dir, "lineitem")
         .join(dates, F.col("l_orderkey") == F.col("o_orderkey"))
         .select(
-            *sample._line_columns(),
+            *sample.line_columns(),
             F.concat(F.col("l_linenumber").cast("string"), "l_returnflag").alias("kind"),
         )
     )

@@ -184,7 +184,7 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _line_columns() -> list[Column]:
+def line_columns() -> list[Column]:
     unit_price = F.col("l_extendedprice").cast("decimal(10,2)")
     discount = F.round(unit_price * F.col("l_discount").cast("decimal(4,2)"), 2).cast(
         "decimal(10,2)"
@@ -208,7 +208,7 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "lineitem")
         .join(dates, F.col("l_orderkey") == F.col("o_orderkey"))
-        .select(*_line_columns())
+        .select(*line_columns())
     )
 
 
@@ -223,7 +223,7 @@ def sold_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "lineitem")
         .join(paying, F.col("l_orderkey") == F.col("o_orderkey"))
-        .select(*_line_columns())
+        .select(*line_columns())
     )
 
 

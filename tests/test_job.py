@@ -154,12 +154,14 @@ def test_quarantine_and_replayable_rejects(spark, data, tmp_path):
     assert [r.status for r in warehouse.read("orders").filter(F.col("order_id") == repeated).collect()] == [
         "Shipped"
     ]
-    stored = sinks.read_rejects(spark.read, rejects)
+    stored = sinks.read_rejects(spark, rejects)
     by_reason = {(r.entity, r.reason): r["count"] for r in stored.groupBy("entity", "reason").count().collect()}
     assert by_reason[("orders", "missing_customer_id")] == 1
     assert by_reason[("order_items", "quantity_invalid")] == 1
     raw = stored.filter("reason = 'missing_customer_id'").first().raw_row
     assert '"customer_id":"999999"' in raw
+    (replayed,) = sinks.replay(stored.filter("reason = 'missing_customer_id'"), model.ORDERS).collect()
+    assert replayed.asDict() == {k: str(v) if v != "" else None for k, v in broken["orders"][0].items()}
 
 
 def test_sources_are_verified_first(spark, source, data, tmp_path):

@@ -268,6 +268,8 @@ def test_run_verdicts_and_watermarks(spark):
     assert (got[1].status, got[1].rows_loaded, len(got[1].error_message)) == ("failed", 9, 2000)
     assert (got[2].status, got[2].finished_at) == ("running", None)
     assert (got[3].status, got[3].error_message, got[3].rows_extracted) == ("failed", "gate", 10)
+    seconds = {r.run_id: r.seconds for r in monitoring.run_durations(monitoring.run_history(events)).collect()}
+    assert seconds == {1: 7200.0, 3: 3600.0}
     marks = spark.createDataFrame(
         [("e", datetime(2026, 3, 15), 1, at[0]), ("e", datetime(2026, 1, 1), 2, at[1])], model.WATERMARK_SCHEMA
     )
