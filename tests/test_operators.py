@@ -233,6 +233,18 @@ def test_pages_are_disjoint_and_clamped(spark):
         paging.resolve_period(today, date(2026, 5, 1))
 
 
+def test_deep_pages_equal_shallow_ones(spark, monkeypatch):
+    df = spark.range(0, 1000, 1, 7).select(
+        (F.col("id") * 37 % 1000).alias("product_id"), (F.col("id") % 3).alias("units_sold")
+    )
+    order = paging.sort_columns("UNITS", reports.PRODUCT_SALES_SORTS, True, "product_id")
+    offsets = (0, 150, 333, 960, 2000)
+    shallow = [paging.page(df, order, 90, o).collect() for o in offsets]
+    monkeypatch.setattr(paging, "DEEP_OFFSET", -1)
+    assert [paging.page(df, order, 90, o).collect() for o in offsets] == shallow
+    assert [len(p) for p in shallow] == [90, 90, 90, 40, 0]
+
+
 def test_nested_page_continues_long_item_lists(spark, monkeypatch):
     """No list grows without bound, and no line is left out."""
     monkeypatch.setattr(lookups, "LINES_PER_CHUNK", 10)
