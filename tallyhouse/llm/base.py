@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyhouse.session import remove_scratch, scratch_path
 
@@ -48,6 +48,11 @@ def ship(spark: SparkSession) -> None:
     context.tallyhouse_shipped = True
 
 
+def hinted(df: DataFrame, limit: int = SMALL_KEYS) -> DataFrame:
+    """Broadcast behind a count; larger relations are left to a shuffle join."""
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
