@@ -1,8 +1,9 @@
 """Quality classifier: perplexity under a Kneser-Ney model of trusted text.
 
 The model is an interpolated modified Kneser-Ney model of byte n-grams up to
-``ORDER`` bytes, one per language, counted over the whole trusted text: every
-document that is labelled good. Counts are kept in shards by (language, byte
+``ORDER`` bytes, one per language, counted over the trusted text: every document
+that is labelled good, but for one in ``FOLDS`` (by a hash) that is held out to
+set the thresholds, as text the model has seen looks too familiar. Counts are kept in shards by (language, byte
 before the last); a shard has every n-gram and context that a query of its key
 needs, but for the unigrams (256 per language). Documents are dealt into blocks;
 a block's distinct n-grams are joined with the count shards, and the
@@ -10,12 +11,12 @@ probabilities come back to the block, where each document's sum is formed.
 
 A document's log-probability per byte is shrunk to its language's trusted mean
 with ``PRIOR`` bytes, so that a few words decide little. It is rejected when its
-perplexity lies beyond quantiles of its language's trusted documents by more
+perplexity lies beyond quantiles of its language's held-out documents by more
 than ``REACH`` times their distance from the median, to either side: text too
-strange, or too repetitive to be prose.
+strange, or (unless the model was fitted on it) too repetitive to be prose.
 
 Texts that are null or empty have no n-gram and are rejected. A language without
-trusted text has no model and no threshold; its documents are accepted. A null
+trusted or held-out text has no threshold; its documents are accepted. A null
 language is a language of its own. Repeated rows give repeated results, and an
 empty table gives no rows.
 """
@@ -40,6 +41,9 @@ REACH = 4.0
 LOW, HIGH = 0.02, 0.98
 BLOCK_BYTES = 24 << 20
 FAN_IN = 64
+FOLDS = 5
+# What a document is to the model.
+OTHER, FIT, HELD_OUT = 0, 1, 2
 HELD_GRAMS = 1 << 21
 
 
@@ -207,7 +211,7 @@ def probabilities(
 
 
 def _scored(dealt: DataFrame, blocks: int, model: DataFrame, discounts: dict, unigrams: dict) -> DataFrame:
-    """row_key, lang, trusted, n_grams, log_sum of every row of ``dealt``."""
+    """row_key, lang, role, n_grams, log_sum of every row of ``dealt``."""
 
     def gather(group: pa.Table) -> pa.Table:
         block = group["block"][0].as_py()
@@ -259,7 +263,7 @@ def _scored(dealt: DataFrame, blocks: int, model: DataFrame, discounts: dict, un
                 "row_key": texts["row_key"],
                 "doc_id": texts["doc_id"],
                 "lang": texts["lang"],
-                "trusted": texts["trusted"],
+                "role": texts["role"],
                 "n_grams": pa.array(sizes, pa.int64()),
                 "log_sum": pa.array(sums, pa.float64()),
             }
@@ -278,7 +282,7 @@ def _scored(dealt: DataFrame, blocks: int, model: DataFrame, discounts: dict, un
     )
     answered = answered.withColumn("block", F.col("part"))
     return dealt.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(
-        total, "row_key long,doc_id long,lang string,trusted boolean,n_grams long,log_sum double"
+        total, "row_key long,doc_id long,lang string,role int,n_grams long,log_sum double"
     )
 
 
@@ -307,22 +311,26 @@ def quality_scores(
         F.col(text_col).alias("text"),
         row_key(docs, id_col, text_col, lang_col).alias("row_key"),
     )
-    marked = rows.join(hinted(good), F.col("doc_id") == F.col("id"), "left").select(
-        *rows.columns, F.coalesce("trusted", F.lit(False)).alias("trusted")
+    role = (
+        F.when(F.col("trusted").isNull(), OTHER)
+        .when(F.pmod("row_key", F.lit(FOLDS)) == 0, HELD_OUT)
+        .otherwise(FIT)
+        .alias("role")
     )
+    marked = rows.join(hinted(good), F.col("doc_id") == F.col("id"), "left").select(*rows.columns, role)
     size = docs.agg(F.sum(F.octet_length(F.col(text_col))).alias("n")).first()["n"] or 0
     blocks = max(1, math.ceil(size / block_bytes))
-    model = _combined(_counted(marked.filter("trusted AND text <> ''").select("lang", "text")))
+    model = _combined(_counted(marked.filter((F.col("role") == FIT) & (F.col("text") != "")).select("lang", "text")))
     discounts, unigrams = _statistics(model)
-    dealt = marked.withColumn("block", F.pmod("row_key", F.lit(blocks)).cast("int"))
+    dealt = marked.withColumn("block", F.pmod(F.xxhash64("row_key"), F.lit(blocks)).cast("int"))
     scored = stored(_scored(dealt, blocks, model, discounts, unigrams), "quality-scores")
-    trusted = scored.filter("trusted AND n_grams > 0")
-    means = trusted.groupBy("lang").agg((F.sum("log_sum") / F.sum("n_grams")).alias("mean"))
+    held_out = (F.col("role") == HELD_OUT) & (F.col("n_grams") > 0)
+    means = scored.filter(held_out).groupBy("lang").agg((F.sum("log_sum") / F.sum("n_grams")).alias("mean"))
     shrunk = -(F.col("log_sum") + PRIOR * F.col("mean")) / (F.col("n_grams") + PRIOR)
     judged = scored.join(means, "lang", "left").withColumn("x", shrunk)
     quantiles = F.percentile_approx("x", [LOW, 0.5, HIGH], 10_000)
     bounds = (
-        judged.filter("trusted AND n_grams > 0")
+        judged.filter(held_out)
         .groupBy("lang")
         .agg(quantiles.alias("q"))
         .select(
@@ -331,7 +339,8 @@ def quality_scores(
             (F.col("q")[1] + REACH * (F.col("q")[2] - F.col("q")[1])).alias("high"),
         )
     )
-    inside = F.col("x").between(F.col("low"), F.col("high"))
+    # Text the model was fitted on looks familiar by right; only others can be too repetitive.
+    inside = (F.col("x") <= F.col("high")) & ((F.col("x") >= F.col("low")) | (F.col("role") == FIT))
     return judged.join(bounds, "lang", "left").select(
         "doc_id",
         "row_key",
