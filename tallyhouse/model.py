@@ -182,4 +182,3 @@ CHECK_SCHEMA = (
     "run_id bigint, check_name string, severity string, passed boolean, "
     "observed double, threshold double, details string, checked_at timestamp"
 )
-REJECT_SCHEMA = "entity string, run_id bigint, reason string, row_key string, raw_row string"

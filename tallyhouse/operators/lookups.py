@@ -6,8 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-LINES_PER_CHUNK = 1000
-
 
 def lookup(keys: DataFrame, table: DataFrame, on: Sequence[str]) -> DataFrame:
     """One row per distinct key; a key without a match keeps a row of nulls."""
@@ -37,46 +35,13 @@ def nested_product_sales(sales: DataFrame, products: DataFrame, categories: Data
 def nested_order_page(
     page: DataFrame, items: DataFrame, products: DataFrame, customers: DataFrame
 ) -> DataFrame:
-    """A page of orders with customer struct and item list.
-
-    The page holds at most 200 orders (see ``clamp_page``), so its keys are
-    broadcast and the lines are filtered map-side. An order gets one row with
-    all its lines in ``items`` (an empty list when it has none); beyond 1000
-    lines the list continues in further rows, numbered by ``chunk``, so that
-    no single list grows with the data and no line is left out.
-    """
-    keys = ["order_id", "order_date"]
-    page_keys = F.broadcast(page.select(*keys))
-    lines = items.join(page_keys, keys, "left_semi")
-    chunks = lines.groupBy(*keys).agg(
-        F.ceil(F.count(F.lit(1)) / LINES_PER_CHUNK).alias("chunks")
-    )
-    item = F.struct(
-        "order_item_id",
-        "product_id",
-        F.col("name").alias("product_name"),
-        "quantity",
-        "unit_price",
-        "discount",
-        "line_revenue",
-    )
-    lists = (
-        lines.join(F.broadcast(chunks), keys)  # one row per order of the page
-        .join(products.select("product_id", "name"), "product_id", "left")
-        .withColumn("chunk", F.pmod(F.xxhash64("order_item_id", "product_id"), F.col("chunks")))
-        .groupBy(*keys, "chunk")
-        .agg(F.array_sort(F.collect_list(item)).alias("items"))
-    )
+    """Orders with customer struct, one row per order and line; the line is a
+    struct, null for an order without lines, so no row grows with an order."""
     buyer = customers.select(
         "customer_id",
         F.struct("customer_id", "email", "first_name", "last_name", "country").alias("customer"),
     )
-    return (
-        page.join(buyer, "customer_id", "left")
-        .join(lists, keys, "left")
-        .withColumn("chunk", F.coalesce("chunk", F.lit(0)).cast("int"))
-        .withColumn("items", F.coalesce("items", F.array().cast(lists.schema["items"].dataType)))
-    )
+    return order_lines_flat(page.join(buyer, "customer_id", "left"), items, products)
 
 
 def order_lines_flat(orders: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
@@ -86,7 +51,13 @@ def order_lines_flat(orders: DataFrame, items: DataFrame, products: DataFrame) -
     line = items.join(products.select("product_id", "name"), "product_id", "left").select(
         *keys,
         F.struct(
-            "order_item_id", "product_id", F.col("name").alias("product_name"), "quantity", "line_revenue"
+            "order_item_id",
+            "product_id",
+            F.col("name").alias("product_name"),
+            "quantity",
+            "unit_price",
+            "discount",
+            "line_revenue",
         ).alias("item"),
     )
     # An inner join can be split on both sides when one order is hot; a left

@@ -6,12 +6,9 @@ from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyhouse.session import cut_lineage
-
 MAX_PAGE = 200
 MAX_PER_CATEGORY = 50
 DEFAULT_PERIOD_DAYS = 90
-DEEP_OFFSET = 100_000
 
 
 def clamp_page(limit: int, offset: int = 0) -> tuple[int, int]:
@@ -25,7 +22,12 @@ def clamp_per_category(limit: int) -> int:
 def resolve_period(
     start: date | None, end: date | None, today: date | None = None
 ) -> tuple[date, date]:
-    """The given closed period, or the last 90 days; an inverted one is an error."""
+    """The given closed period, or the last 90 days if none is given.
+
+    A period with one bound only, or one that ends before it starts, is an error.
+    """
+    if (start is None) != (end is None):
+        raise ValueError("a period needs both its start and its end")
     if start is None or end is None:
         today = today or date.today()
         return today - timedelta(days=DEFAULT_PERIOD_DAYS), today
@@ -45,31 +47,6 @@ def sort_columns(
     return [first, F.col(tiebreak).asc()]
 
 
-def _deep_page(df: DataFrame, order: list[Column], limit: int, offset: int) -> DataFrame:
-    """A page far down a long list, without moving the skipped rows.
-
-    The rows are sorted across partitions and kept; partition sizes (one
-    number each) tell which one or two partitions hold the page.
-    """
-    row_bits = (1 << 33) - 1  # the id counts rows within a partition in its low bits
-    placed = cut_lineage(
-        df.orderBy(*order).select(
-            "*",
-            F.spark_partition_id().alias("_part"),
-            F.monotonically_increasing_id().bitwiseAND(F.lit(row_bits)).alias("_row"),
-        )
-    )
-    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("rows")).collect()
-    here, start = F.lit(False), 0
-    for part, rows in sorted((r["_part"], r["rows"]) for r in sizes):
-        first, last = max(offset - start, 0), min(offset + limit - start, rows)
-        if first < last:
-            inside = (F.col("_row") >= first) & (F.col("_row") < last)
-            here = here | ((F.col("_part") == part) & inside)
-        start += rows
-    return placed.filter(here).orderBy(*order).drop("_part", "_row")
-
-
 def page(
     df: DataFrame,
     order: list[Column],
@@ -82,17 +59,13 @@ def page(
     The total is a scalar subquery over the same rows with every column but
     the needed ones pruned; a window over all rows would go through one task.
     ``counted`` may name a cheaper frame with as many rows as ``df``. The sort
-    and limit plan as a distributed top-k, which holds offset + limit rows in
-    one task; deep offsets take another way. A page past the end is empty, so
-    it shows no total.
+    and limit plan as a distributed top-k of offset + limit rows, at every
+    offset; for walking far down a list there are the keyset pages. A page past
+    the end is empty, so it shows no total.
     """
     limit, offset = clamp_page(limit, offset)
     total = (df if counted is None else counted).agg(F.count(F.lit(1)).alias("n")).scalar()
-    rows = (
-        _deep_page(df, order, limit, offset)
-        if offset > DEEP_OFFSET
-        else df.orderBy(*order).offset(offset).limit(limit)
-    )
+    rows = df.orderBy(*order).offset(offset).limit(limit)
     return rows.withColumn("total_count", total).withColumn(
         "has_next_page", F.col("total_count") > F.lit(offset + limit)
     )

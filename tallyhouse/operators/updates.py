@@ -30,18 +30,30 @@ CHECKS = (
 )
 
 
-def _complete(changes: DataFrame) -> DataFrame:
-    """Change set with every updatable column; an absent one means untouched."""
+CHANGE_NO = "change_no"
+
+
+def numbered(changes: DataFrame) -> DataFrame:
+    """Change set with every updatable column (an absent one means untouched) and
+    the order of its rows: its own ``change_no``, or the order they are stated in."""
+    order = F.col(CHANGE_NO) if CHANGE_NO in changes.columns else F.monotonically_increasing_id()
     return changes.select(
         "product_id",
+        order.cast("bigint").alias(CHANGE_NO),
         *[F.col(c) if c in changes.columns else F.lit(None).alias(c) for c in UPDATABLE],
     )
 
 
-def _taken_skus(changes: DataFrame, products: DataFrame) -> DataFrame:
-    """Change rows asking for a SKU that another product has, or that a lower
-    id of the same change set asks for."""
-    asked = changes.filter(F.col("sku").isNotNull()).select("product_id", "sku")
+def _folded(changes: DataFrame) -> DataFrame:
+    """One row per product; of several rows the later one that sets a field wins."""
+    latest = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col(CHANGE_NO))).alias(c) for c in UPDATABLE]
+    return changes.groupBy("product_id").agg(*latest)
+
+
+def _taken_skus(valid: DataFrame, products: DataFrame) -> DataFrame:
+    """Products asking for a SKU that another product has, or that a lower id
+    asks for; rows that fail another rule claim nothing."""
+    asked = _folded(valid).filter(F.col("sku").isNotNull()).select("product_id", "sku")
     stored = products.select(F.col("product_id").alias("owner"), "sku")
     lowest = asked.groupBy("sku").agg(F.min("product_id").alias("owner"))
     return (
@@ -53,9 +65,9 @@ def _taken_skus(changes: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
-def outcomes(changes: DataFrame, products: DataFrame, categories: DataFrame) -> DataFrame:
-    """(product_id, success, message) per change row; never echoes row values."""
-    changes = _complete(changes)
+def _judged(changes: DataFrame, products: DataFrame, categories: DataFrame) -> DataFrame:
+    """The numbered change rows with the message of their failure, null if they hold."""
+    changes = numbered(changes)
     known = products.select("product_id", F.lit(True).alias("_known"))
     parents = categories.select("category_id", F.lit(True).alias("_category"))
     no_fields = reduce(lambda a, b: a & b, [F.col(c).isNull() for c in UPDATABLE])
@@ -66,26 +78,34 @@ def outcomes(changes: DataFrame, products: DataFrame, categories: DataFrame) ->
             F.concat(F.lit("No product with id "), F.col("product_id").cast("string"), F.lit(".")),
         ),
         *[(F.col(c) < 0, F.lit(f"Update rejected: {name}.")) for c, name in CHECKS],
-        (F.col("_taken"), F.lit(DUPLICATE_SKU)),
-        (F.col("category_id").isNotNull() & F.col("_category").isNull(), F.lit(MISSING_CATEGORY)),
     ]
-    failure = F.coalesce(*[F.when(failed, message) for failed, message in rules])
-    return (
+    no_category = F.when(F.col("category_id").isNotNull() & F.col("_category").isNull(), F.lit(MISSING_CATEGORY))
+    checked = (
         changes.join(known, "product_id", "left")
-        .join(_taken_skus(changes, products), "product_id", "left")
         .join(parents, "category_id", "left")
-        .select(
-            "product_id",
-            failure.isNull().alias("success"),
-            F.coalesce(failure, F.lit(UPDATED)).alias("message"),
-        )
+        .withColumn("_failure", F.coalesce(*[F.when(failed, message) for failed, message in rules]))
+        .withColumn("_no_category", no_category)
+        .drop("_known", "_category")
+    )
+    valid = checked.filter("_failure IS NULL AND _no_category IS NULL")
+    taken = F.when(F.col("_taken") & F.col("sku").isNotNull(), F.lit(DUPLICATE_SKU))
+    return checked.join(_taken_skus(valid, products), "product_id", "left").select(
+        *changes.columns, F.coalesce("_failure", taken, "_no_category").alias("failure")
+    )
+
+
+def outcomes(changes: DataFrame, products: DataFrame, categories: DataFrame) -> DataFrame:
+    """(product_id, success, message) per change row; never echoes row values."""
+    return _judged(changes, products, categories).select(
+        "product_id",
+        F.col("failure").isNull().alias("success"),
+        F.coalesce("failure", F.lit(UPDATED)).alias("message"),
     )
 
 
 def apply_updates(changes: DataFrame, products: DataFrame, categories: DataFrame) -> DataFrame:
-    """The updated products only; fields left null in the change set keep their value."""
-    done = outcomes(changes, products, categories).filter("success").select("product_id")
-    wanted = _complete(changes).join(done, "product_id", "left_semi")
+    """The updated products only, each once; fields left null keep their value."""
+    wanted = _folded(_judged(changes, products, categories).filter("failure IS NULL"))
     new = wanted.select("product_id", *[F.col(c).alias(f"_new_{c}") for c in UPDATABLE])
     return products.join(new, "product_id").select(
         *[

@@ -17,8 +17,10 @@ from tallyhouse.sources.warehouse import Warehouse
 def update_products(warehouse: Warehouse, changes: DataFrame, now: datetime) -> DataFrame:
     """Apply a change set and return (product_id, success, message) per row.
 
-    The outcomes are fixed before the table changes under them.
+    The change rows are numbered, and the outcomes fixed, before the table
+    changes under them.
     """
+    changes = cut_lineage(updates.numbered(changes))
     products = warehouse.read("products")
     categories = warehouse.read("product_categories")
     outcome = cut_lineage(updates.outcomes(changes, products, categories))
@@ -64,10 +66,9 @@ def delete_customers(warehouse: Warehouse, keys: DataFrame) -> DataFrame:
 def delete_runs(warehouse: Warehouse, keys: DataFrame) -> None:
     """Delete runs by run_id from the control tables, their check results first.
 
-    These tables hold a few rows per run and are rewritten whole, from a
-    checkpoint, since a table cannot be overwritten while it is read.
+    These tables hold a few rows per run and are replaced whole.
     """
     for table in ("check_results", "run_events"):
         if warehouse.exists(table):
             left = merge.delete_keys(warehouse.read(table), keys, ["run_id"])
-            warehouse.replace(table, cut_lineage(left))
+            warehouse.replace(table, left)

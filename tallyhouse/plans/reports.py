@@ -305,9 +305,11 @@ def recent_orders(orders: DataFrame, customers: DataFrame | None = None, first:
     """The newest N orders of every customer (or of the given customers).
 
     The rank filter prunes to N rows per customer and task before the shuffle,
-    so a customer with a third of all orders does not become one large task.
+    so a customer with a third of all orders does not become one large task. A
+    batch operator: N is not clamped to a page.
     """
-    first, _ = clamp_page(first)
+    if first < 1:
+        raise ValueError("ask for one order or more")
     if customers is not None:
         orders = orders.join(customers.select("customer_id"), "customer_id", "left_semi")
     newest = Window.partitionBy("customer_id").orderBy(

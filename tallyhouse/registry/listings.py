@@ -10,6 +10,7 @@ from tallyhouse.registry import query
 from tallyhouse.registry.common import END, START, closure, daily, plain, summary
 from tallyhouse.registry.oracle import text_id, with_parts
 from tallyhouse.registry.sales import IN_PERIOD, PROMO, SUMMARY_SQL, page_sql
+from tallyhouse.session import cut_lineage
 from tallyhouse.sources import sample
 
 CUSTOMER = 8
@@ -233,16 +234,13 @@ def items_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "nested_order_history",
     with_parts(
-        f"""SELECT o.order_id, o.order_date, o.status, c.email, 0::INTEGER AS chunk,
-                   count(i.order_item_id) AS lines,
-                   coalesce(string_agg(i.order_item_id || ':' || p.name || ':' || i.quantity, '|'
-                       ORDER BY i.order_item_id, i.product_id, p.name, i.quantity), '') AS items
+        f"""SELECT o.order_id, o.order_date, o.status, c.email, i.order_item_id, p.name AS product_name,
+                   i.quantity, i.unit_price::DOUBLE AS unit_price
             FROM (SELECT * FROM e_orders WHERE customer_id = {CUSTOMER}
                   ORDER BY order_date DESC, order_id DESC LIMIT 10) o
             LEFT JOIN e_customers c ON c.customer_id = o.customer_id
             LEFT JOIN e_items i ON i.order_id = o.order_id AND i.order_date = o.order_date
-            LEFT JOIN e_products p ON p.product_id = i.product_id
-            GROUP BY o.order_id, o.order_date, o.status, c.email""",
+            LEFT JOIN e_products p ON p.product_id = i.product_id""",
         "e_orders",
         "e_items",
         "e_customers",
@@ -250,28 +248,15 @@ def items_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def nested_order_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    page = reports.purchase_history(sample.orders(spark, sf_dir), CUSTOMER, first=10)
+    page = cut_lineage(reports.purchase_history(sample.orders(spark, sf_dir), CUSTOMER, first=10))
     nested = lookups.nested_order_page(
         page,
         sample.order_items(spark, sf_dir),
         sample.products(spark, sf_dir),
         sample.customers(spark, sf_dir),
     )
-    label = F.transform(
-        "items",
-        lambda i: F.concat_ws(
-            ":", i.order_item_id.cast("string"), i.product_name, i.quantity.cast("string")
-        ),
-    )
-    return nested.select(
-        "order_id",
-        "order_date",
-        "status",
-        F.col("customer.email").alias("email"),
-        "chunk",
-        F.size("items").cast("bigint").alias("lines"),
-        F.array_join(label, "|").alias("items"),
-    )
+    line = [F.col(f"item.{c}").alias(c) for c in ("order_item_id", "product_name", "quantity", "unit_price")]
+    return plain(nested.select("order_id", "order_date", "status", F.col("customer.email").alias("email"), *line))
 
 
 @query(

@@ -185,7 +185,7 @@ def cascade_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result
 
 
-def _changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def changes_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One change row per product of certain sizes, good and bad ones."""
     size = F.col("inventory_count")
     price = F.col("price")
@@ -240,7 +240,7 @@ OUTCOME = """
 )
 def update_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return updates.outcomes(
-        _changes(spark, sf_dir), sample.products(spark, sf_dir), sample.categories(spark, sf_dir)
+        changes_of(spark, sf_dir), sample.products(spark, sf_dir), sample.categories(spark, sf_dir)
     )
 
 
@@ -260,7 +260,7 @@ def update_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def partial_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     changed = updates.apply_updates(
-        _changes(spark, sf_dir), sample.products(spark, sf_dir), sample.categories(spark, sf_dir)
+        changes_of(spark, sf_dir), sample.products(spark, sf_dir), sample.categories(spark, sf_dir)
     )
     return plain(changed.select("product_id", "name", "price", "sku", "is_active"))
 

@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 # below this many rows; above it the planner is left to choose a shuffle join.
 BROADCAST_ROW_LIMIT = 100_000
 
+# Scratch folder of local sessions without the setting.
+_local_dir: str | None = None
+
 
 def build_session(app_name: str = "tallyhouse") -> SparkSession:
     """Session for spark-submit; master and sizing come from the submit command."""
@@ -42,9 +45,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    created = tempfile.mkdtemp(prefix="tallyhouse-")
-    spark.conf.set("spark.checkpoint.dir", created)
-    return created
+    global _local_dir
+    if _local_dir is None:
+        _local_dir = tempfile.mkdtemp(prefix="tallyhouse-")
+    return _local_dir
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

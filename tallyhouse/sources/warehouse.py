@@ -18,6 +18,10 @@ from tallyhouse import model
 from tallyhouse.model import Entity
 from tallyhouse.session import use_utc
 
+LAYOUT = "_layout"
+NEXT = "__next"
+DEFAULT_SHARDS = 8
+
 DERIVED = {
     "daily_sales": (
         "sale_date date, date_key int, product_id bigint, category_id bigint, "
@@ -57,20 +61,23 @@ def entity_schema(entity: Entity) -> str:
 class Warehouse:
     """Tables below one root folder that every executor can reach.
 
-    ``shards`` is the number of key shards of a dimension: fix it for the life
-    of a warehouse, near the dimension's size divided by a file size.
+    ``shards`` is the number of key shards of a dimension, near its size divided
+    by a file size. It is stored beside the tables when the warehouse is made,
+    since it decides where a key lives; opening it with another number is an
+    error, without one the stored number holds.
     """
 
     def __init__(
         self,
         spark: SparkSession,
         root: str,
-        shards: int = 8,
+        shards: int | None = None,
         first_month: str = model.FIRST_MONTH,
         last_month: str = model.LAST_MONTH,
     ):
         use_utc(spark)
-        self.spark, self.root, self.shards = spark, root.rstrip("/"), shards
+        self.spark, self.root = spark, root.rstrip("/")
+        self.shards = self._kept_shards(shards)
         self.first_month, self.last_month = first_month, last_month
 
     def path(self, table: str) -> str:
@@ -80,9 +87,27 @@ class Warehouse:
         jvm_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return jvm_path.getFileSystem(self.spark._jsc.hadoopConfiguration()), jvm_path
 
+    def _kept_shards(self, asked: int | None) -> int:
+        """The stored number of shards; a new warehouse stores the one asked for."""
+        layout = f"{self.root}/{LAYOUT}"
+        fs, path = self._folder(layout)
+        if not fs.exists(path):
+            kept = DEFAULT_SHARDS if asked is None else asked
+            self.spark.createDataFrame([(kept,)], "shards int").coalesce(1).write.json(layout)
+            return kept
+        kept = self.spark.read.schema("shards int").json(layout).first().shards
+        if asked is not None and asked != kept:
+            raise ValueError(f"{self.root} has {kept} shards, not {asked}")
+        return kept
+
     def exists(self, table: str) -> bool:
+        """Whether the table is there; a replacement that was cut short is finished first."""
         fs, path = self._folder(self.path(table))
-        return fs.exists(path)
+        if fs.exists(path):
+            return True
+        _, beside = self._folder(f"{self.path(table)}{NEXT}")
+        _, whole = self._folder(f"{self.path(table)}{NEXT}/_SUCCESS")
+        return fs.exists(whole) and fs.rename(beside, path)
 
     def schema(self, table: str) -> StructType:
         ddl = DERIVED.get(table) or entity_schema(model.BY_NAME[table])
@@ -135,8 +160,17 @@ class Warehouse:
         return seen.get if counts else {}
 
     def replace(self, table: str, df: DataFrame) -> None:
-        """Replace a table that ``df`` does not read."""
-        df.write.mode("overwrite").parquet(self.path(table))
+        """Replace a table: write the new one beside it, then switch folders.
+
+        A driver lost in between leaves either table whole (see ``exists``), and
+        ``df`` may read the table itself.
+        """
+        self.exists(table)
+        beside = f"{self.path(table)}{NEXT}"
+        df.write.mode("overwrite").parquet(beside)
+        fs, path = self._folder(self.path(table))
+        fs.delete(path, True)
+        fs.rename(self._folder(beside)[1], path)
 
     def append(self, table: str, df: DataFrame) -> None:
         """Add rows to a control table."""

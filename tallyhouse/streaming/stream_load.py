@@ -2,12 +2,13 @@
 
 The stream's checkpoint remembers which files were read, which replaces the
 watermark table for deciding what is new. ``foreachBatch`` runs at least once
-per batch; the upsert is idempotent and rejects are keyed by the batch id, so
-a repeated batch changes nothing.
+per batch; the upsert is idempotent and rejects are keyed by the batch's run id,
+so a repeated batch changes nothing.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from datetime import datetime
 
@@ -17,17 +18,32 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tallyhouse.model import Entity
 from tallyhouse.operators.validate import POSITION
-from tallyhouse.plans.job import RunReport, advance_watermarks, read_watermark, transform, utc_now
+from tallyhouse.plans import quality
+from tallyhouse.plans.job import (
+    RunReport,
+    advance_watermarks,
+    check,
+    read_watermark,
+    record,
+    transform,
+    utc_now,
+)
 from tallyhouse.plans.load import EntityReport, load_entity
 from tallyhouse.sources import csv_source
 from tallyhouse.sources.warehouse import Warehouse
 
 
-def csv_stream(spark: SparkSession, entity: Entity, folder: str) -> DataFrame:
+RUN_BASE = "_run_base"
+
+
+def csv_stream(
+    spark: SparkSession, entity: Entity, folder: str, multi_line: bool = True
+) -> DataFrame:
     """CSV files of one entity as they arrive in a folder.
 
-    The column order is taken from the files present at the start; a later
-    file whose header differs stops the stream instead of being misread.
+    The column order is taken from the files present at the start; a file whose
+    header differs stops the stream instead of being misread. Records may span
+    lines, so a file is one task, unless the caller knows that none does.
     """
     columns = csv_source.header(spark, folder)
     csv_source.check_header(entity, columns)
@@ -41,11 +57,25 @@ def csv_stream(spark: SparkSession, entity: Entity, folder: str) -> DataFrame:
         .option("header", True)
         .option("enforceSchema", False)
         .option("escape", '"')
+        .option("multiLine", multi_line)
         .csv(folder)
         .select(*entity.source_columns, position.alias(POSITION))
     )
 
 
+def run_base(spark: SparkSession, checkpoint: str) -> int:
+    """Run id of a stream's first batch, kept in its checkpoint folder.
+
+    A restart goes on with the same ids, so a repeated batch replaces its own
+    rejects; another stream, or a fresh checkpoint, gets ids of its own.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint.rstrip('/')}/{RUN_BASE}")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        spark.createDataFrame([(time.time_ns() // 1000,)], "run_id bigint").coalesce(1).write.json(path.toString())
+    return spark.read.schema("run_id bigint").json(path.toString()).first().run_id
+
+
 def positioned(batch: DataFrame) -> DataFrame:
     """Complete the position with the row number, which only a batch can give."""
     known = [F.col(f"{POSITION}.*")] if POSITION in batch.columns else []
@@ -62,29 +92,49 @@ def start_load(
     reject_dir: str | None = None,
     refresh: bool = False,
     on_report: Callable[[EntityReport], None] | None = None,
+    skip_quality: bool = False,
+    blocking: bool = True,
+    workflow: str = "csv_stream",
 ) -> StreamingQuery:
     """Load everything available, then stop; start again for the next files.
 
+    Every batch is a run of its own: its events are recorded, the checks run,
+    and the watermark moves last, not at all if a blocking check failed (which
+    also stops the query).
+
     Rows not after the stored watermark are loaded as well (the checkpoint
     already decides what is new) but counted as late. With ``refresh`` the
     rollups of the days in each batch are rebuilt.
     """
 
+    first_run = run_base(warehouse.spark, checkpoint)
+
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         now: datetime = utc_now()
-        mark = read_watermark(warehouse, entity.name) if entity.watermark else None
-        report = load_entity(
-            warehouse,
-            entity,
-            positioned(batch),
-            batch_id,
-            now,
-            reject_dir=reject_dir,
-            late_before=mark,
-        )
-        if refresh and report.first_day is not None:
-            transform(warehouse, report.first_day, report.last_day, now, scope_customers=True)
-        advance_watermarks(warehouse, RunReport(batch_id, [report]), now)
+        run = RunReport(first_run + batch_id)
+        record(warehouse, run.run_id, workflow, checkpoint, "running")
+        try:
+            mark = read_watermark(warehouse, entity.name) if entity.watermark else None
+            report = load_entity(
+                warehouse,
+                entity,
+                positioned(batch),
+                run.run_id,
+                now,
+                reject_dir=reject_dir,
+                late_before=mark,
+            )
+            run.entities.append(report)
+            if refresh and report.first_day is not None:
+                transform(warehouse, report.first_day, report.last_day, now, scope_customers=True)
+            if not skip_quality:
+                run.blocking = quality.gate(check(warehouse, run.run_id, now), blocking)
+            advance_watermarks(warehouse, run, now)
+        except Exception as error:
+            failure = f"{type(error).__name__}: {error}"
+            record(warehouse, run.run_id, workflow, checkpoint, "failed", run, failure)
+            raise
+        record(warehouse, run.run_id, workflow, checkpoint, "succeeded", run)
         if on_report:
             on_report(report)
 
@@ -97,7 +147,7 @@ def start_load(
 
 
 def daily_counts(rows: DataFrame, moment: str, late_by: str = "1 day") -> DataFrame:
-    """Rows and value per calendar day of a stream with bounded lateness."""
+    """Rows per calendar day of a stream with bounded lateness."""
     return (
         rows.withWatermark(moment, late_by)
         .groupBy(F.window(moment, "1 day"))

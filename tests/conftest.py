@@ -2,7 +2,6 @@ from __future__ import annotations
 
 import pathlib
 import sys
-import tempfile
 
 import pytest
 from pyspark.sql import SparkSession
@@ -22,8 +21,6 @@ def build() -> SparkSession:
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    if spark.conf.get("spark.checkpoint.dir", None) is None:
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tallyhouse-"))
     return spark
 
 

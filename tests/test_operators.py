@@ -12,7 +12,16 @@ from pyspark.sql import functions as F
 from tallyhouse import model
 from tallyhouse.functions.holidays import holiday_name
 from tallyhouse.functions.money import from_cents, ratio_2dp, sum_money
-from tallyhouse.operators import calendar_dim, hierarchy, lookups, merge, paging, rollups, updates
+from tallyhouse.operators import (
+    calendar_dim,
+    hierarchy,
+    lookups,
+    merge,
+    paging,
+    references,
+    rollups,
+    updates,
+)
 from tallyhouse.plans import incremental, monitoring, quality, reports
 
 NOW = datetime(2026, 6, 1)
@@ -229,25 +238,23 @@ def test_pages_are_disjoint_and_clamped(spark):
     assert paging.clamp_per_category(900) == 50 and paging.clamp_page(0, -3) == (1, 0)
     today = date(2026, 6, 1)
     assert paging.resolve_period(None, None, today) == (date(2026, 3, 3), today)
-    with pytest.raises(ValueError):
-        paging.resolve_period(today, date(2026, 5, 1))
+    for start, end in ((today, date(2026, 5, 1)), (today, None), (None, today)):
+        with pytest.raises(ValueError):
+            paging.resolve_period(start, end)
 
 
-def test_deep_pages_equal_shallow_ones(spark, monkeypatch):
+def test_pages_follow_each_other(spark):
     df = spark.range(0, 1000, 1, 7).select(
         (F.col("id") * 37 % 1000).alias("product_id"), (F.col("id") % 3).alias("units_sold")
     )
     order = paging.sort_columns("UNITS", reports.PRODUCT_SALES_SORTS, True, "product_id")
-    offsets = (0, 150, 333, 960, 2000)
-    shallow = [paging.page(df, order, 90, o).collect() for o in offsets]
-    monkeypatch.setattr(paging, "DEEP_OFFSET", -1)
-    assert [paging.page(df, order, 90, o).collect() for o in offsets] == shallow
-    assert [len(p) for p in shallow] == [90, 90, 90, 40, 0]
+    whole = [r[:2] for r in df.orderBy(*order).collect()]
+    for offset in (0, 150, 333, 960, 2000):
+        got = [r[:2] for r in paging.page(df, order, 90, offset).collect()]
+        assert got == whole[offset : offset + 90]
 
 
-def test_nested_page_continues_long_item_lists(spark, monkeypatch):
-    """No list grows without bound, and no line is left out."""
-    monkeypatch.setattr(lookups, "LINES_PER_CHUNK", 10)
+def test_nested_orders_have_a_row_per_line(spark):
     day = datetime(2026, 1, 1)
     page = orders(spark, [(1, 1, day, "Shipped", "1"), (2, 1, day, "Shipped", "1")])
     lines = items(spark, [(n, 1, day, 1, 1, "1.00", "0") for n in range(1, 101)])
@@ -256,11 +263,42 @@ def test_nested_page_continues_long_item_lists(spark, monkeypatch):
         [(1, "e", "f", "l", "US")], "customer_id long, email string, first_name string, last_name string, country string"
     )
     got = lookups.nested_order_page(page, lines, products, customers).collect()
-    long = [r for r in got if r.order_id == 1]
-    assert len(long) > 5 and max(len(r["items"]) for r in long) < 30
-    assert sorted(i.order_item_id for r in long for i in r["items"]) == list(range(1, 101))
+    assert sorted(r["item"].order_item_id for r in got if r.order_id == 1) == list(range(1, 101))
     (empty,) = [r for r in got if r.order_id == 2]
-    assert empty["items"] == [] and empty.customer.email == "e"
+    assert empty["item"] is None and empty.customer.email == "e"
+
+
+def test_uniqueness_to_a_fixpoint(spark):
+    """A row that is rejected keeps its stored value, which others then cannot take."""
+    schema = "product_id long, sku string"
+    stored = spark.createDataFrame([(1, "X"), (3, "Y")], schema)
+    batch = spark.createDataFrame([(1, "Y"), (2, "X")], schema)
+    lost = references.duplicate_claims(batch, stored, "product_id", "sku")
+    assert {r.product_id for r in lost.collect()} == {1, 2}
+    swap = spark.createDataFrame([(1, "Y"), (3, "X")], schema)
+    assert references.duplicate_claims(swap, stored, "product_id", "sku").isEmpty()
+
+
+def test_change_sets_fold_and_claim(spark):
+    products = spark.createDataFrame(
+        [(i, f"n{i}", None, 1.0, None, 1, f"S{i}", 1, None, True) for i in range(1, 5)],
+        "product_id long, " + ", ".join(
+            f"{c} {t}"
+            for c, t in zip(
+                updates.UPDATABLE,
+                ("string", "string", "double", "double", "long", "string", "long", "double", "boolean"),
+            )
+        ),
+    )
+    categories = spark.createDataFrame([(1,)], "category_id long")
+    changes = spark.createDataFrame(
+        [(-5, "FREE", None, 0), (2, "FREE", None, 1), (1, None, "a", 2), (1, None, "b", 3), (3, "S4", None, 4)],
+        "product_id long, sku string, name string, change_no long",
+    )
+    got = [(r.product_id, r.success) for r in updates.outcomes(changes, products, categories).collect()]
+    assert sorted(got) == [(-5, False), (1, True), (1, True), (2, True), (3, False)]
+    new = {r.product_id: (r.name, r.sku) for r in updates.apply_updates(changes, products, categories).collect()}
+    assert new == {1: ("b", "S1"), 2: ("n2", "FREE")}
 
 
 def test_run_verdicts_and_watermarks(spark):
