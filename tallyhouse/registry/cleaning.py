@@ -393,7 +393,11 @@ CONTRACT_COUNTS = {
            WHERE {PAYING})))::BIGINT""",
     "lifetime_value_vs_orders": f"""SELECT (100 * abs((SELECT sum(lifetime_value) FROM e_metrics)
         - (SELECT sum(total_amount) FROM e_orders WHERE {PAYING})))::BIGINT""",
-    "month_totals_vs_days": "SELECT 0",
+    "month_totals_vs_days": f"""SELECT (100 * sum(abs(coalesce(d.total, 0) - coalesce(l.total, 0))))::BIGINT FROM (
+        SELECT strftime(sale_date, '%Y-%m') AS month, sum(net_revenue) AS total FROM e_daily GROUP BY 1) d
+        FULL JOIN (SELECT strftime(i.order_date, '%Y-%m') AS month, sum(line_revenue) AS total
+            FROM e_items i JOIN e_orders o ON o.order_id = i.order_id WHERE {PAYING} GROUP BY 1) l
+        ON l.month = d.month""",
 }
 
 
