@@ -2,11 +2,11 @@
 
 The index stores a posting (row, term, position) for every word of the corpus
 that is also a word of the test set, and one posting of an end mark per row that
-carries its length. Each test window looks up the posting list of its rarest
-term only; a posting there fixes where the item would have to lie in the
-document. The lists of the item's other terms, moved by their offsets, are then
-intersected at just these places, and runs of matches as long as a window are
-exact phrase matches. Proximity matches ask for a number of the item's rarest
+carries its length. Each test window looks up the posting lists of its two
+rarest terms and intersects them, moved by their offsets; where they meet, the
+place of the item in the document is fixed. The lists of the item's other terms
+are then intersected at just these places, and runs of matches as long as a
+window are exact phrase matches. Proximity matches ask for a number of the item's rarest
 terms within a span, in any order.
 
 Rows are told apart by their place in the stored index, so repeated ids give
@@ -83,24 +83,33 @@ def _term_counts(index: Index) -> DataFrame:
 
 
 def candidates(index: Index, window: int = WINDOW) -> DataFrame:
-    """(row, item, shift): places of items, from the rarest term of each of their windows."""
+    """(row, item, shift): places where the lists of a window's two rarest terms,
+    moved by their offsets, meet."""
     start = F.explode(
         F.sequence(
             F.greatest(F.lit(0), F.col("j") - window + 1),
             F.least(F.col("j"), F.greatest(F.lit(0), F.col("n") - window)),
         )
     )
+    ranked = F.array_sort(F.collect_list(F.struct("frequency", "j", "term")))
     seeds = (
         index.items.join(_term_counts(index), "term", "left")
         .select("item", "j", "term", F.coalesce("frequency", F.lit(0)).alias("frequency"), start.alias("start"))
         .groupBy("item", "start")
-        .agg(F.min(F.struct("frequency", "j", "term")).alias("seed"))
-        .filter("seed.frequency > 0")
-        .select("item", "seed.j", "seed.term")
+        .agg(ranked.alias("ranked"))  # as many as a window has words
+        .select("item", F.col("ranked")[0].alias("first"), F.coalesce(F.get("ranked", F.lit(1)), F.col("ranked")[0]).alias("second"))
+        .filter("first.frequency > 0")
+        .select("item", "first.term", "first.j", F.col("second.term").alias("next_term"), F.col("second.j").alias("next_j"))
         .distinct()
     )
-    found = index.postings.join(hinted(stored(seeds, "seeds")), "term")
-    return found.select("row", "item", (F.col("pos") - F.col("j")).alias("shift")).distinct()
+    seeds = stored(seeds, "seeds")
+    shift = F.col("pos") - F.col("j")
+    found = index.postings.join(hinted(seeds), "term").select(
+        "row", "item", shift.alias("shift"), F.col("next_term").alias("term"), (shift + F.col("next_j")).alias("pos")
+    )
+    following = index.postings.join(hinted(seeds.select(F.col("next_term").alias("term")).distinct()), "term", "left_semi")
+    met = found.distinct().join(following.select("row", "term", "pos"), ["row", "term", "pos"], "left_semi")
+    return met.select("row", "item", "shift").distinct()
 
 
 def phrase_matches(index: Index, window: int = WINDOW) -> DataFrame:
@@ -153,7 +162,7 @@ def proximity_matches(index: Index, terms: int = 3, within: int = 20) -> DataFra
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, **columns: str) -> DataFrame:
     """Per row of ``docs``: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
     index = build_index(docs, items, **columns)
-    found = phrase_matches(index, window)
+    found = stored(phrase_matches(index, window), "phrase-matches")
     hits = found.select("row", "pos").distinct().groupBy("row").agg(F.count("*").alias("n_hit"))
     named = (
         found.select("row", F.col("item_id").cast("string").alias("item_id"))
