@@ -65,6 +65,16 @@ def _by_shard(grams: np.ndarray) -> Iterator[tuple[int, slice]]:
             yield int(keys[lo]), slice(lo, hi)
 
 
+def _pack(grams: np.ndarray) -> bytes:
+    """N-grams of one shard in four bytes each; the byte that names the shard is left out."""
+    return ((grams >> np.uint64(16) << np.uint64(8)) | (grams & np.uint64(255))).astype(np.uint32).tobytes()
+
+
+def _unpack(packed: bytes, shard: int) -> np.ndarray:
+    short = np.frombuffer(packed, np.uint32).astype(np.uint64)
+    return (short >> np.uint64(8) << np.uint64(16)) | np.uint64(shard << 8) | (short & np.uint64(255))
+
+
 def _merge(grams: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct grams with summed counts, ordered by shard."""
     unique, place = np.unique(np.concatenate(grams), return_inverse=True)
@@ -99,7 +109,7 @@ def _counted(rows: DataFrame) -> DataFrame:
         for lang in held:
             fold(lang)
             grams, counts = held[lang][0][0], held[lang][1][0]
-            out += [(lang, s, grams[at].tobytes(), counts[at].tobytes()) for s, at in _by_shard(grams)]
+            out += [(lang, s, _pack(grams[at]), counts[at].tobytes()) for s, at in _by_shard(grams)]
         part = TaskContext.get().partitionId()
         yield _packed_rows([(part, *r) for r in out])
 
@@ -112,6 +122,10 @@ def _packed_rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names)
 
 
+def _grams(group: pa.Table) -> list[np.ndarray]:
+    return [_unpack(g, s) for g, s in zip(group["grams"].to_pylist(), group["shard"].to_pylist())]
+
+
 def _arrays(group: pa.Table, name: str, kind: type) -> list[np.ndarray]:
     return [np.frombuffer(x, kind) for x in group[name].to_pylist()]
 
@@ -120,11 +134,11 @@ def _combined(counted: DataFrame) -> DataFrame:
     """One row per (lang, shard), merged ``FAN_IN`` task results at a time."""
 
     def merge(group: pa.Table) -> pa.Table:
-        grams, counts = _merge(_arrays(group, "grams", np.uint64), _arrays(group, "counts", np.int64))
+        grams, counts = _merge(_grams(group), _arrays(group, "counts", np.int64))
         first = {c: group[c][0].as_py() for c in ("lang", "shard")}
         part = group["part"][0].as_py() // FAN_IN
         return pa.Table.from_batches(
-            [_packed_rows([(part, first["lang"], first["shard"], grams.tobytes(), counts.tobytes())])]
+            [_packed_rows([(part, first["lang"], first["shard"], _pack(grams), counts.tobytes())])]
         )
 
     parts = (counted.agg(F.max("part")).first()[0] or 0) + 1
@@ -162,7 +176,7 @@ def _statistics(model: DataFrame) -> tuple[dict, dict]:
     """
 
     def count(group: pa.Table) -> pa.Table:
-        orders = _orders(_arrays(group, "grams", np.uint64)[0], _arrays(group, "counts", np.int64)[0])
+        orders = _orders(_grams(group)[0], _arrays(group, "counts", np.int64)[0])
         ones = [int(np.sum(c == n)) for k in range(2, ORDER + 1) for c in (orders[k][1],) for n in (1, 2, 3, 4)]
         seen = np.zeros(256, np.uint8)
         seen[(orders[2][0] & np.uint64(255)).astype(np.int64)] = 1
@@ -215,14 +229,19 @@ def _scored(dealt: DataFrame, blocks: int, model: DataFrame, discounts: dict, un
 
     def gather(group: pa.Table) -> pa.Table:
         block = group["block"][0].as_py()
-        texts: dict[str, list[np.ndarray]] = defaultdict(list)
+        held: dict[str, list[np.ndarray]] = defaultdict(list)
+        sizes: dict[str, int] = defaultdict(int)
         for lang, text in zip(group["lang"].to_pylist(), group["text"].to_pylist()):
-            texts[lang].append(np.unique(grams_of(text)))
+            if lang in unigrams and text:
+                held[lang].append(np.unique(grams_of(text)))
+                sizes[lang] += len(held[lang][-1])
+                if sizes[lang] >= HELD_GRAMS // 2:
+                    held[lang], sizes[lang] = [np.unique(np.concatenate(held[lang]))], 0
         rows = []
-        for lang, found in texts.items():
-            if lang in unigrams:
-                grams, _ = _merge(found, [np.ones(len(f), np.int64) for f in found])
-                rows += [(block, lang, s, grams[at].tobytes(), b"") for s, at in _by_shard(grams)]
+        for lang, found in held.items():
+            grams = np.unique(np.concatenate(found))
+            grams = grams[np.argsort((grams >> np.uint64(8)) & np.uint64(255), kind="stable")]
+            rows += [(block, lang, s, _pack(grams[at]), b"") for s, at in _by_shard(grams)]
         return pa.Table.from_batches([_packed_rows(rows)])
 
     def look_up(model_rows: pa.Table, asked: pa.Table) -> pa.Table:
@@ -231,10 +250,10 @@ def _scored(dealt: DataFrame, blocks: int, model: DataFrame, discounts: dict, un
             lang, shard = asked["lang"][0].as_py(), asked["shard"][0].as_py()
             steps = {k: discounts[lang, k] for k in range(2, ORDER + 1)}
             found = model_rows.num_rows > 0
-            grams = _arrays(model_rows, "grams", np.uint64)[0] if found else np.zeros(0, np.uint64)
+            grams = _grams(model_rows)[0] if found else np.zeros(0, np.uint64)
             counts = _arrays(model_rows, "counts", np.int64)[0] if found else np.zeros(0, np.int64)
             for block, packed in zip(asked["part"].to_pylist(), asked["grams"].to_pylist()):
-                queries = np.frombuffer(packed, np.uint64)
+                queries = _unpack(packed, shard)
                 if found:
                     p = probabilities(queries, grams, counts, steps, unigrams[lang])
                 else:
@@ -246,7 +265,7 @@ def _scored(dealt: DataFrame, blocks: int, model: DataFrame, discounts: dict, un
         tables = {}
         for lang in set(known["lang"].to_pylist()):
             of = known.filter(pc.equal(known["lang"], lang))
-            grams, logs = np.concatenate(_arrays(of, "grams", np.uint64)), np.concatenate(_arrays(of, "counts", np.float32))
+            grams, logs = np.concatenate(_grams(of)), np.concatenate(_arrays(of, "counts", np.float32))
             order = np.argsort(grams)
             tables[lang] = grams[order], logs[order]
         sizes, sums = [], []
@@ -327,7 +346,7 @@ def quality_scores(
     held_out = (F.col("role") == HELD_OUT) & (F.col("n_grams") > 0)
     means = scored.filter(held_out).groupBy("lang").agg((F.sum("log_sum") / F.sum("n_grams")).alias("mean"))
     shrunk = -(F.col("log_sum") + PRIOR * F.col("mean")) / (F.col("n_grams") + PRIOR)
-    judged = scored.join(means, "lang", "left").withColumn("x", shrunk)
+    judged = scored.join(hinted(means), "lang", "left").withColumn("x", shrunk)
     quantiles = F.percentile_approx("x", [LOW, 0.5, HIGH], 10_000)
     bounds = (
         judged.filter(held_out)
@@ -341,7 +360,7 @@ def quality_scores(
     )
     # Text the model was fitted on looks familiar by right; only others can be too repetitive.
     inside = (F.col("x") <= F.col("high")) & ((F.col("x") >= F.col("low")) | (F.col("role") == FIT))
-    return judged.join(bounds, "lang", "left").select(
+    return judged.join(hinted(bounds), "lang", "left").select(
         "doc_id",
         "row_key",
         "lang",
