@@ -25,23 +25,23 @@ from tallyhouse.llm.base import mix64, ship, stored, word_hashes
 
 SAMPLES = 64
 SEED = 91
-BLOCK_CHARS = 1 << 20
+BLOCK_CHARS = 1 << 21
 EMPTY = "f" * (4 * SAMPLES)
 
 
 def _draws(terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """r, ln c and b of each term (row) and coordinate (column)."""
-    salt = mix64(np.arange(1, 3 * SAMPLES + 1, dtype=np.uint64) + np.uint64(SEED << 32))
-    high, low = [], []
-    for part in range(3):
+    salt = mix64(np.arange(1, 2 * SAMPLES + 1, dtype=np.uint64) + np.uint64(SEED << 32))
+    uniform = []
+    for part in range(2):
         h = mix64(terms[:, None] ^ salt[None, part * SAMPLES : (part + 1) * SAMPLES])
-        # Uniform in (0, 1]: 32 bits each from both halves.
-        high.append((h >> np.uint64(32)).astype(np.float32) * np.float32(2.0**-32) + np.float32(2.0**-33))
-        low.append((h & np.uint64(0xFFFFFFFF)).astype(np.float32) * np.float32(2.0**-32) + np.float32(2.0**-33))
-    r = -np.log(high[0] * low[0])
-    c = -np.log(high[1] * low[1])
-    tiny = np.float32(1e-7)
-    return np.maximum(r, tiny), np.log(np.maximum(c, tiny)), np.minimum(high[2], np.float32(1 - 1e-7))
+        # Three uniform values in (0, 1) of 21 bits each.
+        for shift in (43, 22, 1):
+            bits = ((h >> np.uint64(shift)) & np.uint64((1 << 21) - 1)).astype(np.float32)
+            uniform.append((bits + np.float32(0.5)) * np.float32(2.0**-21))
+    r = -np.log(uniform[0] * uniform[1])
+    c = -np.log(uniform[2] * uniform[3])
+    return r, np.log(c), uniform[4]
 
 
 def _packed(terms: np.ndarray, weights: np.ndarray, r: np.ndarray, lnc: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -106,16 +106,16 @@ _NAMES = [f.split()[0] for f in FIELDS.split(",")]
 _TYPES = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
 
 
-def _compare(ids: list, texts: list[str], following: list[str], own: list[str], after: list[str]) -> list[pa.Array]:
-    changed = [edited(t, n) for t, n in zip(texts, following)]
-    prints = fingerprints(changed)
+def _columns(
+    ids: list, texts: list[str], changed: list[str], own: list[str], other: list[str], after: list[str]
+) -> list[pa.Array]:
     columns = [
         ids,
         [len(t) for t in texts],
         [hashlib.sha256(t.encode()).hexdigest() for t in changed],
         own,
-        prints,
-        [likeness(a, b) for a, b in zip(own, prints)],
+        other,
+        [likeness(a, b) for a, b in zip(own, other)],
         [likeness(a, b) for a, b in zip(own, after)],
     ]
     return [pa.array(c, t) for c, t in zip(columns, _TYPES)]
@@ -161,15 +161,19 @@ def document_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str
             return pa.RecordBatch.from_arrays([*columns, *extra], names)
 
         for ids, texts in _blocks(batches):
-            prints = fingerprints(texts)
+            before = [held[1]] if held else []
+            chain = before + texts
+            changed = [edited(t, n) for t, n in zip(chain, chain[1:])]
+            # Texts and edited texts share most terms, so they are sampled together.
+            prints = fingerprints(texts + changed)
+            own, other = prints[: len(texts)], prints[len(texts) :]
             if held is None:
-                empty = [pa.nulls(1, t) for t in _TYPES]
-                yield out(empty, texts[0], prints[0], None)
+                yield out([pa.nulls(1, t) for t in _TYPES], texts[0], own[0], None)
             else:
-                ids, texts, prints = [held[0], *ids], [held[1], *texts], [held[2], *prints]
-            if len(ids) > 1:
-                yield out(_compare(ids[:-1], texts[:-1], texts[1:], prints[:-1], prints[1:]), None, None, None)
-            held = (ids[-1], texts[-1], prints[-1])
+                ids, texts, own = [held[0], *ids], chain, [held[2], *own]
+            if changed:
+                yield out(_columns(ids[:-1], texts[:-1], changed, own[:-1], other, own[1:]), None, None, None)
+            held = (ids[-1], texts[-1], own[-1])
         if held:
             waiting = [pa.nulls(1, t) for t in _TYPES]
             waiting[0], waiting[3] = pa.array([held[0]], pa.int64()), pa.array([held[2]], pa.string())
@@ -197,8 +201,10 @@ def document_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            c = [x.to_pylist() for x in batch.columns]
-            yield pa.RecordBatch.from_arrays(_compare(c[0], c[1], c[3], c[2], c[4]), _NAMES)
+            ids, texts, own, following, after = (x.to_pylist() for x in batch.columns)
+            changed = [edited(t, n) for t, n in zip(texts, following)]
+            columns = _columns(ids, texts, changed, own, fingerprints(changed), after)
+            yield pa.RecordBatch.from_arrays(columns, _NAMES)
 
     inner = done.filter("first_text IS NULL AND last_text IS NULL").select(_NAMES)
     return inner.unionByName(waiting.mapInArrow(close, FIELDS))
