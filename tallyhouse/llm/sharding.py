@@ -24,7 +24,8 @@ from tallyhouse.llm.base import ship
 
 SHARDS = 16
 SEED = 2027
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 4 << 20
+SPAN = 1024
 
 
 def row_size(text_col: str) -> Column:
@@ -48,6 +49,18 @@ def fisher_yates(n: int, seed: int, bucket: int) -> np.ndarray:
     return np.random.Generator(np.random.PCG64([seed, bucket])).permutation(n)
 
 
+def _offsets(buckets: DataFrame) -> DataFrame:
+    """Rows in all earlier buckets, summed within spans of buckets, then over the spans."""
+    span = F.floor(F.col("bucket") / SPAN)
+    sizes = buckets.groupBy("bucket").count().withColumn("span", span)
+    earlier = Window.rowsBetween(Window.unboundedPreceding, -1)
+    within = earlier.partitionBy("span").orderBy("bucket")
+    spans = sizes.groupBy("span").agg(F.sum("count").alias("rows"))
+    starts = spans.select("span", F.sum("rows").over(earlier.orderBy("span")).alias("start"))
+    before = F.coalesce("start", F.lit(0)) + F.coalesce(F.sum("count").over(within), F.lit(0))
+    return sizes.join(starts, "span").select("bucket", before.alias("offset"))
+
+
 def shuffled(
     docs: DataFrame,
     shards: int = SHARDS,
@@ -68,21 +81,17 @@ def shuffled(
         row_size(text_col).alias("size"),
         F.struct(*docs.columns).alias("row"),
     )
-    schema = rows.withColumn("place", F.lit(0).cast("long")).schema
 
-    def shuffle(group: pa.Table) -> pa.Table:
+    def shuffle(group: pa.Table, offset: pa.Table) -> pa.Table:
         by = [(c, "ascending") for c in ("id", "crc", "size")]
         places = np.empty(group.num_rows, np.int64)
         order = pc.sort_indices(group.select(["id", "crc", "size"]), by).to_numpy()
         places[order] = fisher_yates(group.num_rows, seed, group.column("bucket")[0].as_py())
-        return group.append_column("place", pa.array(places))
-
-    scattered = rows.groupBy("bucket").applyInArrow(shuffle, schema)
-    # One row per bucket: its first place in the global order.
-    sizes = docs.select(key.alias("bucket")).groupBy("bucket").count()
-    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset"))
-    placed = scattered.join(offsets, "bucket").withColumn("g", F.col("offset") + F.col("place"))
+        return group.append_column("g", pa.array(places + offset.column("offset")[0].as_py()))
+
+    offsets = _offsets(docs.select(key.alias("bucket")))
+    schema = rows.withColumn("g", F.lit(0).cast("long")).schema
+    placed = rows.groupBy("bucket").cogroup(offsets.groupBy("bucket")).applyInArrow(shuffle, schema)
     return placed.select(
         "row.*",
         (F.col("g") % shards).cast("int").alias("shard_no"),
