@@ -28,7 +28,8 @@ from pyspark.sql import DataFrame, functions as F
 from tallyhouse.llm.base import map_batches
 
 MODEL = "piece_bpe_32k.model"
-CACHED = 400_000
+CACHED = 300_000
+PART = 20_000
 MARK = "▁"
 _PER_KEY = 3  # code points of 21 bits in one integer
 _FULL = (1 << 21) - 1
@@ -220,8 +221,10 @@ class PieceCoder:
         if len(known) >= CACHED:
             known.clear()
         new = list(set(chain.from_iterable(split)).difference(known))
-        for at in range(0, len(new), 50_000):
-            part = new[at : at + 50_000]
+        if len(self.pairs) >= 2 * CACHED:
+            self.pairs.clear()
+        for at in range(0, len(new), PART):
+            part = new[at : at + PART]
             known.update(zip(part, self._encode_words(part)))
         return [list(chain.from_iterable(map(known.__getitem__, words))) for words in split]
 
