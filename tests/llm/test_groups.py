@@ -210,3 +210,29 @@ def test_accepted_keeps_whole_rows(scored):
     assert out.count() == sum(r["accepted"] for r in got)
     assert quality.accepted(table, marks.limit(0)).count() == sum(1 for r in rows if r[1])
     assert quality.accepted(table.limit(0), marks).count() == 0
+
+
+def rare_rows() -> tuple[list, list]:
+    """A common language with good, bad and half-bad documents and a rare one with few trusted ones."""
+    rng = random.Random(5)
+    words = {lang: ["".join(rng.choice(letters) for _ in range(rng.randint(3, 7))) for _ in range(60)] for lang, letters in (("aa", "abcdefghij"), ("bb", "klmnopqrst"))}
+    text = lambda lang: " ".join(rng.choice(words[lang]) for _ in range(60))
+    mixed = lambda share: " ".join(w if rng.random() > share else "".join(rng.choice("abcdefghij") for _ in w) for w in text("aa").split())
+    rows = [(i, text("aa"), "aa") for i in range(150)] + [(200 + i, mixed(0.35), "aa") for i in range(30)]
+    rows += [(300 + i, text("bb"), "bb") for i in range(30)] + [(400 + i, "Z9#%& " * 50, "bb") for i in range(3)]
+    labels = [(i, 1, 0) for i in range(120)] + [(200 + i, 0, 0) for i in range(20)] + [(300 + i, 1, 0) for i in range(6)]
+    return rows, labels
+
+
+@pytest.fixture(scope="module")
+def rare(spark):
+    rows, labels = rare_rows()
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    return {r["doc_id"]: r for r in quality.quality_scores(docs, marks).collect()}
+
+
+def test_rare_language_keeps_clean_text(rare):
+    kept = [rare[i]["accepted"] for i in range(300, 330)]
+    assert sum(kept) >= 29
+    assert not any(rare[i]["accepted"] for i in range(400, 403))
