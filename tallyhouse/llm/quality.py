@@ -2,7 +2,7 @@
 
 The model is an interpolated modified Kneser-Ney model of byte n-grams up to
 ``ORDER`` bytes, one per language, counted over the trusted text: every document
-that is labelled good. Trusted documents are dealt into ``FOLDS``
+that is labelled good and not toxic. Trusted documents are dealt into ``FOLDS``
 folds by a hash, and counts are kept per fold, so that each one is judged by the
 model of the other folds, as text a model has seen looks too familiar. All other
 documents are judged by the model without fold 0. Counts are in shards by
@@ -19,8 +19,9 @@ prose. Per side the language's spread is the distance from the median of its
 trusted documents to their ``LOW`` or ``HIGH`` quantile, shrunk towards that of
 all languages with the weight of ``BACK_OFF`` documents and widened by
 ``sqrt(1 + 1/n)`` for the error of a centre taken from n of them and by the gain a
-main model of more text may bring (``SLOPE``), so bounds change smoothly with n. A bound lies
-``REACH`` spreads from the median.
+main model of more text may bring (``SLOPE``), so bounds change smoothly with n. How many spreads a bound lies from the median is fitted on all
+labelled documents, each judged by a model that has not seen it, between
+``LEAST`` and ``MOST``; see ``reach``.
 
 Texts that are null or empty have no n-gram and are rejected. A language without
 trusted text, or with all of it in the fold left out, is not judged; its documents are accepted. A null
@@ -47,7 +48,10 @@ PRIOR = 200
 LOW, HIGH = 0.02, 0.98
 BACK_OFF = 50
 SLOPE = 0.5  # at most so much a byte's logarithm gains by e times the trusted text
-REACH = 4.0
+# The fit of the bounds, in spreads from the median, and what losing a share of the
+# good documents weighs against accepting the same share of the bad ones.
+LEAST, MOST, STEP = 1.0, 4.0, 0.05
+CLEAN_WEIGHT = 2.0
 BLOCK_BYTES = 24 << 20
 FAN_IN = 64
 FOLDS = 5
@@ -371,6 +375,39 @@ def _scored(dealt: DataFrame, blocks: int, model: DataFrame, discounts: dict, un
     )
 
 
+def reach(good: np.ndarray, bad: np.ndarray) -> float:
+    """How many spreads from the median a bound lies, on the grid from ``LEAST`` to ``MOST``.
+
+    ``good`` and ``bad`` count labelled documents by the first grid point that is not below
+    their distance; a last cell holds those beyond ``MOST``. The point with the least
+    ``CLEAN_WEIGHT`` times the share of good ones beyond it plus the share of bad ones within
+    is taken; of equals the middle one, so a gap between good and bad is parted halfway.
+    """
+    lost = 1 - np.cumsum(good)[:-1] / max(good.sum(), 1)
+    passed = np.cumsum(bad)[:-1] / max(bad.sum(), 1)
+    cost = CLEAN_WEIGHT * lost + passed
+    best = np.flatnonzero(cost <= cost.min() + 1e-12)
+    return LEAST + STEP * float(best[len(best) // 2])
+
+
+def _reaches(judged: DataFrame) -> tuple[float, float]:
+    """The fitted reach to either side over labelled documents with ``below`` and ``above``,
+    their distances from the median in spreads; the driver gets a count per grid point."""
+    cells = int(round((MOST - LEAST) / STEP)) + 1
+    cell = lambda c: F.greatest(F.lit(0), F.least(F.lit(cells), F.ceil((F.col(c) - LEAST) / STEP)))
+    rows = (
+        judged.filter("(bad OR role = 1) AND below IS NOT NULL")
+        .select("bad", F.explode(F.array(*(F.struct(F.lit(s).alias("side"), cell(c).alias("cell")) for s, c in enumerate(("below", "above"))))).alias("at"))
+        .groupBy("bad", "at.side", "at.cell")
+        .count()
+        .collect()
+    )
+    found = np.zeros((2, 2, cells + 1))
+    for row in rows:
+        found[row["side"], int(row["bad"]), int(row["cell"])] += row["count"]
+    return reach(*found[0]), reach(*found[1])
+
+
 def row_key(docs: DataFrame, id_col: str, text_col: str, lang_col: str):
     """Names a row by its content, so that rows with equal ids are told apart."""
     return F.xxhash64(docs[id_col], docs[text_col], docs[lang_col])
@@ -386,11 +423,12 @@ def quality_scores(
 ) -> DataFrame:
     """Per row: doc_id, row_key, lang, n_grams, perplexity, the one judged, its bounds, accepted.
 
-    ``labels`` has doc_id and quality; a document is trusted if a label says 1. ``perplexity`` is under
+    ``labels`` has doc_id, quality and perhaps toxic; a document is trusted if a label says
+    quality 1 and none says toxic, and bad if a label says quality 0. ``perplexity`` is under
     the model without fold ``MAIN`` for all; ``judged`` is under one the document is no part of.
     """
     ship(docs.sparkSession)
-    toxic = F.lit(False)
+    toxic = F.max(F.coalesce(F.col("toxic") == 1, F.lit(False))) if "toxic" in labels.columns else F.lit(False)
     says = lambda q: F.max(F.coalesce(F.col("quality") == q, F.lit(False)))
     marks = (
         labels.groupBy(F.col("doc_id").alias("id"))
@@ -477,7 +515,7 @@ def quality_scores(
         .withColumn("below", (F.col("centre") - F.col("x")) / F.col("down"))
         .withColumn("above", (F.col("x") - F.col("centre")) / F.col("up"))
     )
-    to_low = to_high = REACH
+    to_low, to_high = _reaches(placed.filter("n_grams > 0"))
     inside = (F.col("below") <= to_low) & (F.col("above") <= to_high)
     return placed.select(
         "doc_id",

@@ -236,3 +236,21 @@ def test_rare_language_keeps_clean_text(rare):
     kept = [rare[i]["accepted"] for i in range(300, 330)]
     assert sum(kept) >= 29
     assert not any(rare[i]["accepted"] for i in range(400, 403))
+
+
+def test_reach_parts_good_from_bad():
+    cells = int(round((quality.MOST - quality.LEAST) / quality.STEP)) + 2
+    good, bad = np.zeros(cells), np.zeros(cells)
+    good[0], bad[-1] = 100, 5
+    middle = (quality.LEAST + quality.MOST) / 2
+    assert quality.reach(good, bad) == pytest.approx(middle, abs=quality.STEP)
+    good[10], bad[11] = 3, 50
+    assert quality.reach(good, bad) == pytest.approx(quality.LEAST + 10 * quality.STEP)
+
+
+def test_toxic_text_is_not_trusted(spark):
+    rows, labels = rare_rows()
+    docs = spark.createDataFrame(rows[:20], "doc_id long, text string, lang string")
+    marks = spark.createDataFrame([(i, 1, 1) for i in range(20)], "doc_id long, quality int, toxic int")
+    got = quality.quality_scores(docs, marks).collect()
+    assert all(r["accepted"] and r["highest"] is None for r in got)
