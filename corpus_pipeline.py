@@ -21,9 +21,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each near-duplicate group, the one with the smallest id."""
+    """Keeps one document of each group of a similarity of 0.8 or more, the one with the smallest id."""
     base.drop_stored(spark)
-    return near_duplicates.deduplicated(docs)
+    return near_duplicates.deduplicated(docs, percent=80)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,12 +2,12 @@
 
 1. Every text gets the set of its hashed five-word shingles and a signature of
    ``COORDINATES`` minima. Texts with the same words are one node from here on.
-2. Two sets at the threshold agree in at least ``AGREE`` coordinates (the chance
-   to miss a pair is about one in a million, see ``AGREE``). So they share one of
-   any ``COORDINATES - AGREE + 1`` coordinates: nodes that share none of the
+2. Two sets at the threshold agree in at least ``agree`` coordinates (the chance
+   to miss a pair is about one in a million, whatever the threshold). So they share
+   one of any ``COORDINATES - agree + 1`` coordinates: nodes that share none of the
    first so many values with another node are left out.
 3. Nodes are posted under their coordinate-value pairs, rarest first, and only
-   under the prefix that any pair with ``AGREE`` collisions must meet in. Long
+   under the prefix that any pair with ``agree`` collisions must meet in. Long
    posting lists, such as those of a passage that many texts share, are skipped
    that way, not cut.
 4. In each list all members are held against one centre, the member with the
@@ -27,6 +27,7 @@ no rows. Columns other than the id and the text are ignored.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -37,13 +38,23 @@ from tallyhouse.llm.base import hinted, map_batches, mix64, shingle_hashes, stor
 WIDTH = 5
 PERCENT = 85
 COORDINATES = 128
-# At a similarity of 0.85, 128 coordinates agree 108.8 times on average with a
-# standard deviation of 4.04; 89 is 4.9 deviations below.
-AGREE = 89
-PREFIX = COORDINATES - AGREE + 1
-# The same for the sketch: 435.2 of 512 on average, deviation 8.08, 4.9 of them below.
 SKETCH = 512
-DIFFER = SKETCH - 395
+DEVIATIONS = 4.9
+
+
+def agree(percent: int, coordinates: int = COORDINATES) -> int:
+    """Coordinates in which a pair at the threshold agrees, less ``DEVIATIONS`` standard deviations.
+
+    At 85 percent, 128 coordinates agree 108.8 times on average with a standard
+    deviation of 4.04, so 89; 512 agree 435.2 times with 8.08, so 395.
+    """
+    p = percent / 100
+    return max(1, math.floor(coordinates * p - DEVIATIONS * math.sqrt(coordinates * p * (1 - p))))
+
+
+def differ(percent: int) -> int:
+    """Coordinates in which the sketches of a pair at the threshold may differ."""
+    return SKETCH - agree(percent, SKETCH)
 
 
 def _functions(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -117,9 +128,10 @@ def _tokens(nodes: DataFrame, coordinates: int) -> DataFrame:
     )
 
 
-def prefixes(nodes: DataFrame) -> DataFrame:
+def prefixes(nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(node, company, prefix): the coordinate-value pairs to post a node under, rarest first."""
-    first = _tokens(nodes, PREFIX)
+    least = agree(percent)
+    first = _tokens(nodes, COORDINATES - least + 1)
     alive = stored(first.join(_shared(first), ["coordinate", "value"], "left_semi").select("node").distinct(), "alive")
     tokens = stored(_tokens(nodes.join(hinted(alive), "node", "left_semi"), COORDINATES), "tokens")
     return (
@@ -130,8 +142,8 @@ def prefixes(nodes: DataFrame) -> DataFrame:
             F.sum("frequency").alias("company"),
         )
         # Values that nobody shares count as the rarest; they fill the prefix first.
-        .filter(F.size("ranked") >= AGREE)
-        .select("node", "company", F.slice("ranked", 1, F.size("ranked") - AGREE + 1).alias("prefix"))
+        .filter(F.size("ranked") >= least)
+        .select("node", "company", F.slice("ranked", 1, F.size("ranked") - least + 1).alias("prefix"))
     )
 
 
@@ -151,13 +163,13 @@ def _differences(left: Column, right: Column) -> Column:
     return F.aggregate(changed, F.lit(0), count)
 
 
-def _matching(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _matching(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose sketches differ in few enough coordinates."""
     side = lambda name: sets.select(F.col("node").alias(name), F.col("sketch").alias(f"{name}_sketch"))
     return (
         pairs.join(side("a"), "a")
         .join(side("b"), "b")
-        .filter(_differences(F.col("a_sketch"), F.col("b_sketch")) <= DIFFER)
+        .filter(_differences(F.col("a_sketch"), F.col("b_sketch")) <= differ(percent))
         .select("a", "b")
     )
 
@@ -225,7 +237,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 def link(docs: DataFrame, nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(node, label) of all nodes that are linked with another one."""
-    prefixed = stored(prefixes(nodes), "prefixes")
+    prefixed = stored(prefixes(nodes, percent), "prefixes")
     lists = prefixed.select("node", "company", F.explode("prefix").alias("p")).select(
         "node", "company", "p.coordinate", "p.value"
     )
@@ -240,7 +252,7 @@ def link(docs: DataFrame, nodes: DataFrame, percent: int = PERCENT) -> DataFrame
         .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
         .distinct()
     )
-    first = stored(_confirmed(_matching(star, sets), sets, percent), "links")
+    first = stored(_confirmed(_matching(star, sets, percent), sets, percent), "links")
     labels = components(first)
     second = stored(_confirmed(_crossing(lists, prefixed, labels, sets, percent), sets, percent), "links")
     if second.limit(1).count() == 0:
@@ -274,7 +286,7 @@ def _crossing(lists: DataFrame, prefixed: DataFrame, labels: DataFrame, sets: Da
         & (c("x_label") != c("y_label"))
         # The smaller set can't reach the threshold if the larger one is too large.
         & (100 * F.least("x_n_shingles", "y_n_shingles") >= percent * F.greatest("x_n_shingles", "y_n_shingles"))
-        & (_differences(c("x_sketch"), c("y_sketch")) <= DIFFER)
+        & (_differences(c("x_sketch"), c("y_sketch")) <= differ(percent))
         # Both prefixes have one order, so this is the first list they share.
         & (F.element_at(F.array_intersect(c("x_prefix"), c("y_prefix")), 1) == x["token"])
     )
@@ -313,13 +325,13 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
     )
 
 
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def deduplicated(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay: the one with the smallest id of each group, whole.
 
     Of repeated rows with that id the one with the smallest text hash stays. Rows
     without id stay all.
     """
-    judged = near_duplicates(docs, id_col=id_col, text_col=text_col)
+    judged = near_duplicates(docs, percent, id_col, text_col)
     gone = stored(judged.filter("NOT kept").select(F.col("doc_id").alias("gone")).distinct(), "duplicates")
     rest = docs.join(hinted(gone), docs[id_col] == gone["gone"], "left_anti")
     repeated = stored(

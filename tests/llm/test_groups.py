@@ -90,6 +90,22 @@ def test_deduplicated_keeps_one_row_of_each_group(docs):
     assert near_duplicates.near_duplicates(docs([])).count() == 0
 
 
+def test_limits_follow_the_threshold(docs):
+    assert (near_duplicates.agree(85), near_duplicates.differ(85)) == (89, near_duplicates.SKETCH - 395)
+    for percent in (70, 75, 80, 85, 90):
+        p = percent / 100
+        for n, least in ((128, near_duplicates.agree(percent)), (512, 512 - near_duplicates.differ(percent))):
+            assert sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(least)) < 1e-5
+    rows = []
+    for i in range(60):
+        base = [f"{i}x{j}" for j in range(104)]
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(base[:93] + [f"{i}y{j}" for j in range(11)]))]
+    left, right = (shingles(t) for _, t in rows[:2])
+    assert 0.80 <= len(left & right) / len(left | right) < 0.85
+    assert near_duplicates.deduplicated(docs(rows), percent=80).count() == 60
+    assert near_duplicates.deduplicated(docs(rows)).count() == 120
+
+
 def test_signature_agreement_estimates_similarity():
     left = near_duplicates.shingle_hashes(near_duplicates.words_hashed(" ".join(map(str, range(2000)))), 5)
     right = near_duplicates.shingle_hashes(near_duplicates.words_hashed(" ".join(map(str, range(150, 2000)))), 5)
