@@ -187,10 +187,18 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, **col
     )
 
 
-def clean(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_col: str = "doc_id", **columns: str) -> DataFrame:
-    """The rows of ``docs``, whole, whose id has no contaminated text; rows without id are judged too."""
-    index = build_index(docs, items, id_col=id_col, **columns)
+def _row_key(docs: DataFrame, id_col: str, text_col: str) -> Column:
+    """Names a row by its id and text, so that rows with equal ids or none are told apart."""
+    return F.xxhash64(docs[id_col], docs[text_col])
+
+
+def clean(
+    docs: DataFrame, items: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", **columns: str
+) -> DataFrame:
+    """The rows of ``docs``, whole, that are not contaminated; each row is judged by its own text."""
+    named = docs.select(_row_key(docs, id_col, text_col).alias("row_key"), docs[text_col].alias("text"))
+    index = build_index(named, items, id_col="row_key", **columns)
     found = phrase_matches(index, window).select("row").distinct()
-    hit = index.lengths.join(found, "row", "left_semi").select(F.col("doc_id").alias("hit_id")).distinct()
+    hit = index.lengths.join(found, "row", "left_semi").select(F.col("doc_id").alias("hit_key")).distinct()
     hit = stored(hit, "contaminated")
-    return docs.join(hinted(hit), docs[id_col].eqNullSafe(hit["hit_id"]), "left_anti")
+    return docs.join(hinted(hit), _row_key(docs, id_col, text_col) == hit["hit_key"], "left_anti")

@@ -63,6 +63,13 @@ def test_decontamination_equals_brute_force(spark, docs):
     assert decontaminate.decontaminate(docs(rows), table.limit(0)).filter("contaminated").count() == 0
 
 
+def test_clean_judges_each_row_by_its_own_text(spark, docs):
+    table = spark.createDataFrame([(1, "alpha beta gamma")], "item_id long, text string")
+    rows = [(None, "alpha beta gamma"), (None, "clean"), (None, None), (1, "x alpha beta gamma"), (1, "clean"), (2, "other")]
+    kept = decontaminate.clean(docs(rows), table).collect()
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, [rows[1], rows[2], rows[4], rows[5]]))
+
+
 def test_proximity_finds_terms_in_any_order(spark, docs):
     table = spark.createDataFrame([(1, "alpha the beta the gamma")], "item_id long, text string")
     near, far = "gamma x the the beta y alpha", "gamma " + "x the " * 30 + " beta alpha"
