@@ -90,11 +90,17 @@ def find_notice(joined: str, notice: Notice) -> list[tuple[int, int, int]]:
             merged[-1][1] = max(merged[-1][1], hi)
         else:
             merged.append([lo, hi])
-    for lo, hi in merged:
-        for m in _pattern(notice).finditer(joined, lo, hi):
-            if (edits := sum(m.fuzzy_counts)) <= k:
-                found.append((m.start(), m.end(), edits))
-    return found
+    while merged:
+        lo, hi = merged.pop()
+        while hi < len(joined) and joined[hi] != " ":  # a word cut in two would seem to end there
+            hi += 1
+        m = _pattern(notice).search(joined, lo, hi)
+        if m is None or (edits := sum(m.fuzzy_counts)) > k:
+            continue
+        found.append((m.start(), m.end(), edits))
+        # The best match of an area parts it; worse ones stand on either side.
+        merged += [[a, b] for a, b in ((lo, m.start() - 1), (m.end(), hi)) if b - a >= length - k]
+    return sorted(found)
 
 
 def exact_places(joined: str, phrase: str) -> list[int]:

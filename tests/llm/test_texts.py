@@ -105,6 +105,33 @@ def test_license_notices_with_edits():
     assert (start, end) == (2, 6)
 
 
+def edit_distance(a: str, b: str) -> int:
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_license_spans_of_several_notices_near_each_other():
+    notice = next(n for n in licenses.NOTICES if n.label == "gpl")
+    text = "the gnu generl public license and the gnu general public license text gnu genral publc license"
+    spans = [(text[s:e], k) for s, e, k in licenses.find_notice(text, notice)]
+    assert spans == [("gnu generl public license", 1), ("gnu general public license", 0), ("gnu genral publc license", 2)]
+    rng = np.random.default_rng(4)
+    for _ in range(40):
+        copies = []
+        for _ in range(rng.integers(2, 6)):
+            chars = list(notice.text)
+            for at in rng.choice(np.flatnonzero(np.array(chars) != " "), rng.integers(0, 3), replace=False):
+                chars[at] = "q"
+            copies.append("".join(chars))
+        joined = " and some license ".join(copies)
+        want = [(c, edit_distance(c, notice.text)) for c in copies]
+        assert [(joined[s:e], k) for s, e, k in licenses.find_notice(joined, notice)] == want
+
+
 def test_seeds_make_the_notice():
     for notice in licenses.NOTICES:
         parts = licenses.seeds(notice)
