@@ -16,6 +16,7 @@ from tallyhouse.llm import (
     pieces,
     pii,
     quality,
+    quality_rules,
     sharding,
     token_counts,
 )
@@ -150,3 +151,8 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(base.table(spark, sf_dir, "documents"))
+
+
+@_query
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(base.table(spark, sf_dir, "documents")).drop("lang", "source")
