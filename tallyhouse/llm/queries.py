@@ -19,6 +19,7 @@ from tallyhouse.llm import (
     quality_rules,
     sharding,
     token_counts,
+    whitening,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -156,3 +157,8 @@ def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(base.table(spark, sf_dir, "documents")).drop("lang", "source")
+
+
+@_query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitening(base.table(spark, sf_dir, "embeddings"))
