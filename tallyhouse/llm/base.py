@@ -5,7 +5,7 @@ from __future__ import annotations
 import pathlib
 import tempfile
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +28,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def appended(spark: SparkSession, dfs: Iterable[DataFrame], schema: str, label: str) -> DataFrame:
+    """Write frames one after the other into one table in the shared folder; with none, an empty one."""
+    path = scratch_path(spark, label)
+    spark.createDataFrame([], schema).write.parquet(path)
+    _written.append(path)
+    for df in dfs:
+        df.write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
 def drop_stored(spark: SparkSession) -> None:
     """Remove the tables of ``stored``; call it once their results were written."""
     while _written:
