@@ -12,8 +12,8 @@ scores of a node.
 Anchors are the query set, taken in blocks of some ``ANCHOR_BLOCK`` by a hash and
 sent to all tasks; each task searches its trees best-first: a queue by upper bound,
 from which a node is dropped if it has no row of a wanted label, lies outside every
-score window, or strictly below the k-th best score found so far (equal scores can
-still win by a smaller id). The first search finds an anchor's positives, the rows
+score window, or strictly below the k-th best score that the task found so far (equal scores
+can still win by a smaller id). The first search finds an anchor's positives, the rows
 of its label with the highest scores; the second, per positive, the best rows of
 other labels whose score is between ``low`` and ``high`` percent of the positive's.
 The best of all trees are taken by a window function. What passes the driver per
@@ -282,7 +282,7 @@ _FOUND = "anchor int,positive_score long,id long,score long"
 
 
 def _searched(trees: DataFrame, block: AnchorBlock, size: int, want: tuple) -> DataFrame:
-    """(anchor, positive_score, id, score): the best rows of every tree.
+    """(anchor, positive_score, id, score, rank): the best rows of all trees.
 
     ``want`` is ("positives", k) or ("negatives", k, low, high).
     """
@@ -290,61 +290,61 @@ def _searched(trees: DataFrame, block: AnchorBlock, size: int, want: tuple) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = sent.value
-        code_of = lambda names: {name: i for i, name in enumerate(names)}
+        # What earlier trees of the task gave is the bar for the later ones.
+        if want[0] == "negatives":
+            best = block.windows(*want[1:])
+        else:
+            best = [{0: Best(want[1])} for _ in block.labels]
         for batch in batches:
             for ids, names, codes, vectors in zip(*(batch.column(c) for c in range(4))):
-                out: list[tuple[int, int | None, int, int]] = []
                 whole = np.frombuffer(vectors.as_py(), np.int32).reshape(-1, size)
                 kind = _exact_kind(whole, block.vectors)
-                tree = Tree(
-                    np.frombuffer(ids.as_py(), np.int64), np.frombuffer(codes.as_py(), np.int32), whole.astype(kind)
-                )
-                known = code_of(names.as_py())
-                anchors = block.vectors.astype(kind)
-                windows = block.windows(*want[1:]) if want[0] == "negatives" else None
-                for lo in range(0, len(anchors), 256):
-                    lower, upper = (x.tolist() for x in tree.bounds(anchors[lo : lo + 256]))
-                    for i in range(lo, min(lo + 256, len(anchors))):
-                        code = known.get(block.labels[i], -1)
-                        vector = anchors[i]
-                        if windows is None:
-                            if code < 0:
-                                continue
-                            best = [Best(want[1])]
-                            wanted = ((tree.first <= code) & (tree.last >= code)).tolist()
-                            itself = block.ids[i]
-
-                            def rows(at: slice) -> np.ndarray:
-                                fit = tree.codes[at] == code
-                                same = fit & (tree.ids[at] == itself)
-                                if same.any():
-                                    fit &= ~(same & (tree.vectors[at] == vector).all(1))
-                                return fit
-
-                            keys = [None]
-                        else:
-                            if not windows[i]:
-                                continue
-                            keys, best = list(windows[i]), list(windows[i].values())
-                            wanted = (~((tree.first == code) & (tree.last == code))).tolist()
-
-                            def rows(at: slice) -> np.ndarray:
-                                return tree.codes[at] != code
-
-                        search(tree, vector, lower[i - lo], upper[i - lo], wanted, rows, best)
-                        for key, b in zip(keys, best):
-                            out += [(i, key, int(r), int(s)) for s, r in zip(b.scores, b.ids)]
-                columns = list(zip(*out)) if out else [[]] * 4
-                kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(columns, kinds)], [x.split()[0] for x in _FOUND.split(",")]
-                )
+                codes = np.frombuffer(codes.as_py(), np.int32)
+                tree = Tree(np.frombuffer(ids.as_py(), np.int64), codes, whole.astype(kind))
+                known = {name: code for code, name in enumerate(names.as_py())}
+                look_in = _negatives_in if want[0] == "negatives" else _positives_in
+                for lo in range(0, len(block.ids), 256):
+                    anchors = block.vectors[lo : lo + 256].astype(kind)
+                    lower, upper = (x.tolist() for x in tree.bounds(anchors))
+                    for k, vector in enumerate(anchors):
+                        i = lo + k
+                        if best[i]:
+                            wanted, rows = look_in(tree, known.get(block.labels[i], -1), block.ids[i], vector)
+                            search(tree, vector, lower[k], upper[k], wanted, rows, list(best[i].values()))
+        out = [
+            (i, key, int(r), int(s))
+            for i, each in enumerate(best)
+            for key, b in each.items()
+            for s, r in zip(b.scores, b.ids)
+        ]
+        columns = list(zip(*out)) if out else [[]] * 4
+        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(columns, kinds)], [x.split()[0] for x in _FOUND.split(",")]
+        )
 
     found = trees.mapInArrow(run, _FOUND)
     order = Window.partitionBy("anchor", "positive_score").orderBy(F.desc("score"), "id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= want[1])
 
 
+def _positives_in(tree: Tree, code: int, itself: int, vector: np.ndarray) -> tuple[list[bool], Callable]:
+    """Nodes and rows of the anchor's label; the anchor itself is left out."""
+
+    def rows(at: slice) -> np.ndarray:
+        fit = tree.codes[at] == code
+        same = fit & (tree.ids[at] == itself)
+        return fit & ~(same & (tree.vectors[at] == vector).all(1)) if same.any() else fit
+
+    return ((tree.first <= code) & (tree.last >= code)).tolist(), rows
+
+
+def _negatives_in(tree: Tree, code: int, itself: int, vector: np.ndarray) -> tuple[list[bool], Callable]:
+    """Nodes and rows of other labels."""
+    only_own = (tree.first == code) & (tree.last == code)
+    return (~only_own).tolist(), lambda at: tree.codes[at] != code
+
+
 def _exact_kind(rows: np.ndarray, anchors: np.ndarray) -> type:
     """Floats where they hold every sum of products exactly, else 64-bit integers."""
     top = lambda x: float(np.abs(x.astype(np.int64)).max(initial=0))
