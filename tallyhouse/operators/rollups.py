@@ -101,6 +101,11 @@ def customer_metrics(
         F.min("order_date").alias("first_order_date"),
         F.max("order_date").alias("last_order_date"),
     )
+    return metrics_of(base, totals)
+
+
+def metrics_of(base: DataFrame, totals: DataFrame) -> DataFrame:
+    """Metrics of the customers in ``base`` from (customer_id, orders, value, first and last order)."""
     span = (
         F.unix_micros("last_order_date") - F.unix_micros("first_order_date")
     ).cast("decimal(20,0)")
@@ -146,7 +151,11 @@ def product_summary(
 ) -> DataFrame:
     """All-time totals per product. The rollup is reduced to one row per product
     before any join, so the joins carry products and not selling days."""
-    totals = rollup.groupBy("product_id").agg(
+    return summary_of(product_totals(rollup), products, categories, closure)
+
+
+def product_totals(rollup: DataFrame) -> DataFrame:
+    return rollup.groupBy("product_id").agg(
         F.sum("units_sold").alias("units"),
         sum_money(F.col("net_revenue"), 18).alias("revenue"),
         sum_money(F.col("discount_total"), 18).alias("discount"),
@@ -154,6 +163,12 @@ def product_summary(
         F.min("sale_date").alias("first_sale_date"),
         F.max("sale_date").alias("last_sale_date"),
     )
+
+
+def summary_of(
+    totals: DataFrame, products: DataFrame, categories: DataFrame, closure: DataFrame
+) -> DataFrame:
+    """Products and their categories beside (product_id, units, revenue, discount, orders, first and last day)."""
     roots = closure.select("category_id", "root_category_id", "root_category_name")
     zero = F.lit(0)
     return (

@@ -40,7 +40,7 @@ def delete_rows(
         return
     left = merge.delete_keys(stored.filter(F.col(column).isin(*touched)), keys, on)
     filled = {row[0] for row in left.select(column).distinct().collect()}
-    warehouse.replace_partitions(table, left, column)
+    warehouse.replace_partitions(table, left, column, touched=sorted(touched) if column == "month" else None)
     warehouse.drop_partitions(table, column, [str(value) for value in touched - filled])
 
 
@@ -63,12 +63,7 @@ def delete_customers(warehouse: Warehouse, keys: DataFrame) -> DataFrame:
     return in_use
 
 
-def delete_runs(warehouse: Warehouse, keys: DataFrame) -> None:
-    """Delete runs by run_id from the control tables, their check results first.
-
-    These tables hold a few rows per run and are replaced whole.
-    """
+def delete_runs(warehouse: Warehouse, run_ids: Sequence[int]) -> None:
+    """Delete runs from the control tables, their check results first."""
     for table in ("check_results", "run_events"):
-        if warehouse.exists(table):
-            left = merge.delete_keys(warehouse.read(table), keys, ["run_id"])
-            warehouse.replace(table, left)
+        warehouse.drop_partitions(table, "run_id", [str(i) for i in run_ids])

@@ -9,18 +9,21 @@ died half way is simply repeated.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from tallyhouse import model
 from tallyhouse.model import Entity
+from tallyhouse.operators.digests import DIGEST
 from tallyhouse.session import use_utc
 
 LAYOUT = "_layout"
 NEXT = "__next"
 DEFAULT_SHARDS = 8
+# Month tables whose digests are kept beside them.
+DIGESTED = ("orders", "order_items", "daily_sales")
 
 DERIVED = {
     "daily_sales": (
@@ -40,10 +43,29 @@ DERIVED = {
         "total_units_sold bigint, total_revenue decimal(18,2), total_discount decimal(18,2), "
         "order_count bigint, first_sale_date date, last_sale_date date"
     ),
+    "product_months": (
+        "product_id bigint, days bigint, units bigint, revenue_cents bigint, discount_cents bigint, "
+        "orders bigint, first_sale_date date, last_sale_date date, inputs string, month string"
+    ),
+    "product_totals": (
+        "product_id bigint, days bigint, units bigint, revenue_cents bigint, discount_cents bigint, "
+        "orders bigint, first_sale_date date, last_sale_date date"
+    ),
+    "customer_months": (
+        "customer_id bigint, orders bigint, value_cents bigint, first_order_date timestamp, "
+        "last_order_date timestamp, inputs string, month string"
+    ),
+    "customer_totals": (
+        "customer_id bigint, orders bigint, value_cents bigint, first_order_date timestamp, "
+        "last_order_date timestamp"
+    ),
+    "rollup_sources": "inputs string, month string",
+    "check_ledger": "check_name string, violations bigint, inputs string, month string",
     "declared_months": "table_name string, month_start date",
-    "run_events": model.RUN_EVENTS_SCHEMA,
+    "run_events": f"attempt string, {model.RUN_EVENTS_SCHEMA}",
     "watermarks": model.WATERMARK_SCHEMA,
-    "check_results": model.CHECK_SCHEMA,
+    "check_results": f"attempt string, {model.CHECK_SCHEMA}",
+    **{f"{table}_digests": DIGEST for table in DIGESTED},
 }
 
 
@@ -135,15 +157,20 @@ class Warehouse:
         column: str,
         counts: dict[str, Column] | None = None,
         cluster_by: tuple[str, ...] = (),
+        touched: Sequence[str] | None = None,
     ) -> dict[str, int]:
         """Replace the partitions present in ``df``, counting rows on the way.
 
+        ``touched`` names a superset of these partitions, if the caller knows them:
+        only their digests are dropped, else those of the whole table.
+
         The rebalance hint gives each partition enough tasks for its size: AQE
         splits a month that holds a third of the data and joins small ones, so
         neither one huge task nor a flood of small files results. ``df`` may
         read the table itself. The counts are observed in the writing stage,
         above every shuffle, where a task counts once however often it is tried.
         """
+        self.forget_digests(table, touched)
         out = df.hint("rebalance", F.col(column))
         if cluster_by:
             out = out.sortWithinPartitions(column, *cluster_by)
@@ -172,6 +199,12 @@ class Warehouse:
         fs.delete(path, True)
         fs.rename(self._folder(beside)[1], path)
 
+    def drop_table(self, table: str) -> None:
+        """Remove a table, and a replacement of it that was cut short."""
+        for name in (f"{table}{NEXT}", table):
+            fs, path = self._folder(self.path(name))
+            fs.delete(path, True)
+
     def append(self, table: str, df: DataFrame) -> None:
         """Add rows to a control table."""
         columns = [f.name for f in self.schema(table).fields]
@@ -186,8 +219,16 @@ class Warehouse:
         names = [status.getPath().getName() for status in fs.listStatus(path)]
         return sorted(n[len(prefix) :] for n in names if n.startswith(prefix))
 
+    def forget_digests(self, table: str, months: Sequence[str] | None) -> None:
+        """Before months of a table change; a digest that is missing is made when asked for."""
+        if table in DIGESTED:
+            kept = f"{table}_digests"
+            self.drop_partitions(kept, "month", self.partitions(kept, "month") if months is None else months)
+
     def drop_partitions(self, table: str, column: str, values: Iterable[str]) -> None:
         """Remove whole partitions: emptied months and retention."""
+        values = list(values)
+        self.forget_digests(table, values)
         for value in values:
             fs, path = self._folder(f"{self.path(table)}/{column}={value}")
             fs.delete(path, True)

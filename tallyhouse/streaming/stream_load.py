@@ -2,8 +2,8 @@
 
 The stream's checkpoint remembers which files were read, which replaces the
 watermark table for deciding what is new. ``foreachBatch`` runs at least once
-per batch; the upsert is idempotent and rejects are keyed by the batch's run id,
-so a repeated batch changes nothing.
+per batch; the upsert is idempotent, and rejects, events and check results are
+keyed by the batch's run id, so a repeated batch changes nothing.
 """
 
 from __future__ import annotations
@@ -23,13 +23,14 @@ from tallyhouse.plans.job import (
     RunReport,
     advance_watermarks,
     check,
+    counts_of,
     read_watermark,
-    record,
     transform,
     utc_now,
 )
 from tallyhouse.plans.load import EntityReport, load_entity
 from tallyhouse.sources import csv_source
+from tallyhouse.sources.ledger import FAILED, SUCCEEDED, RunLedger
 from tallyhouse.sources.warehouse import Warehouse
 
 
@@ -112,7 +113,8 @@ def start_load(
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         now: datetime = utc_now()
         run = RunReport(first_run + batch_id)
-        record(warehouse, run.run_id, workflow, checkpoint, "running")
+        ledger = RunLedger(warehouse)
+        run.attempt = ledger.begin(run.run_id, workflow, checkpoint)
         try:
             mark = read_watermark(warehouse, entity.name) if entity.watermark else None
             report = load_entity(
@@ -128,13 +130,12 @@ def start_load(
             if refresh and report.first_day is not None:
                 transform(warehouse, report.first_day, report.last_day, now, scope_customers=True)
             if not skip_quality:
-                run.blocking = quality.gate(check(warehouse, run.run_id, now), blocking)
+                run.blocking = quality.gate(check(warehouse, run.run_id, run.attempt, now), blocking)
             advance_watermarks(warehouse, run, now)
         except Exception as error:
-            failure = f"{type(error).__name__}: {error}"
-            record(warehouse, run.run_id, workflow, checkpoint, "failed", run, failure)
+            ledger.finish(run.run_id, FAILED, counts_of(run), f"{type(error).__name__}: {error}")
             raise
-        record(warehouse, run.run_id, workflow, checkpoint, "succeeded", run)
+        ledger.finish(run.run_id, SUCCEEDED, counts_of(run))
         if on_report:
             on_report(report)
 

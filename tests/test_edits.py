@@ -12,6 +12,7 @@ from tallyhouse import model
 from tallyhouse.operators import rollups, validate
 from tallyhouse.plans import edits, job
 from tallyhouse.plans.load import upsert
+from tallyhouse.sources.ledger import SUCCEEDED, RunLedger
 from tallyhouse.sources.warehouse import Warehouse
 
 NOW = datetime(2026, 7, 1)
@@ -76,13 +77,15 @@ def test_customers_with_orders_stay(spark, warehouse):
 
 
 def test_deleting_runs_takes_their_checks(spark, warehouse):
+    ledger = RunLedger(warehouse)
     for run_id in (1, 2):
-        job.record(warehouse, run_id, "w", "s", "running")
+        attempt = ledger.begin(run_id, "w", "s")
         checks = spark.createDataFrame([(run_id, "c", "error", True, 0.0, 0.0, "", NOW)], model.CHECK_SCHEMA)
-        warehouse.append("check_results", checks)
-    edits.delete_runs(warehouse, spark.createDataFrame([(1,)], "run_id long"))
-    for table in ("run_events", "check_results"):
-        assert [r.run_id for r in warehouse.read(table).collect()] == [2]
+        ledger.log("check_results", run_id, attempt, checks)
+        ledger.finish(run_id, SUCCEEDED)
+    edits.delete_runs(warehouse, [1])
+    assert {r.run_id for r in warehouse.read("run_events").collect()} == {2}
+    assert [r.run_id for r in ledger.committed("check_results").collect()] == [2]
 
 
 def test_tables_can_be_named_and_analyzed(spark, warehouse):

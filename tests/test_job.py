@@ -101,7 +101,7 @@ def test_gate_fails_the_run_and_keeps_watermarks(spark, loaded, source):
     assert last.status == "failed" and "default_partition_rows" in last.error_message
     assert warehouse.read("watermarks").count() == marks
     names = ["default_partition_rows", "future_dated_orders"]
-    verdicts = job.check(warehouse, 1, job.utc_now(), names)
+    verdicts = job.check(warehouse, 1, "by-hand", job.utc_now(), names)
     assert quality.gate(verdicts, blocking=False) == ["default_partition_rows"]
     assert job.drop_old_months(warehouse, "1999-01-01") == []
     warehouse.drop_partitions("orders", "month", ["2045-01"])
