@@ -22,6 +22,7 @@ from tallyhouse.session import use_utc
 LAYOUT = "_layout"
 NEXT = "__next"
 DEFAULT_SHARDS = 8
+STALE, ALL = "_stale", "all"
 # Month tables whose digests are kept beside them.
 DIGESTED = ("orders", "order_items", "daily_sales")
 
@@ -45,16 +46,18 @@ DERIVED = {
     ),
     "product_months": (
         "product_id bigint, days bigint, units bigint, revenue_cents bigint, discount_cents bigint, "
-        "orders bigint, first_sale_date date, last_sale_date date, inputs string, month string"
+        "orders bigint, first_sale_date date, last_sale_date date, month string"
     ),
+    "product_months_inputs": "inputs string, month string",
     "product_totals": (
         "product_id bigint, days bigint, units bigint, revenue_cents bigint, discount_cents bigint, "
         "orders bigint, first_sale_date date, last_sale_date date"
     ),
     "customer_months": (
         "customer_id bigint, orders bigint, value_cents bigint, first_order_date timestamp, "
-        "last_order_date timestamp, inputs string, month string"
+        "last_order_date timestamp, month string"
     ),
+    "customer_months_inputs": "inputs string, month string",
     "customer_totals": (
         "customer_id bigint, orders bigint, value_cents bigint, first_order_date timestamp, "
         "last_order_date timestamp"
@@ -220,10 +223,30 @@ class Warehouse:
         return sorted(n[len(prefix) :] for n in names if n.startswith(prefix))
 
     def forget_digests(self, table: str, months: Sequence[str] | None) -> None:
-        """Before months of a table change; a digest that is missing is made when asked for."""
+        """Before months of a table change: mark their digests as out of date (None: all).
+
+        A mark is an empty file, so forgetting costs no job, and a writer that dies
+        leaves it behind; it goes when the digest was made anew.
+        """
         if table in DIGESTED:
-            kept = f"{table}_digests"
-            self.drop_partitions(kept, "month", self.partitions(kept, "month") if months is None else months)
+            for month in [ALL] if months is None else months:
+                fs, path = self._folder(f"{self.root}/{STALE}/{table}/{month}")
+                fs.create(path, True).close()
+
+    def forgotten(self, table: str) -> set[str]:
+        fs, path = self._folder(f"{self.root}/{STALE}/{table}")
+        return {s.getPath().getName() for s in fs.listStatus(path)} if fs.exists(path) else set()
+
+    def remember(self, table: str, months: Iterable[str]) -> None:
+        for month in months:
+            fs, path = self._folder(f"{self.root}/{STALE}/{table}/{month}")
+            fs.delete(path, False)
+
+    def replace_months(self, table: str, df: DataFrame, months: Sequence[str]) -> None:
+        """A small table with a few rows per month: those of the given months become ``df``."""
+        columns = [f.name for f in self.schema(table).fields]
+        rest = self.read(table).filter(~F.col("month").isin(*months))
+        self.replace(table, rest.unionByName(df.select(*columns)).coalesce(1))
 
     def drop_partitions(self, table: str, column: str, values: Iterable[str]) -> None:
         """Remove whole partitions: emptied months and retention."""
