@@ -26,6 +26,7 @@ from tallyhouse.llm.base import mix64, ship, stored, word_hashes
 SAMPLES = 64
 SEED = 91
 BLOCK_CHARS = 1 << 21
+DRAWN, FOLDED = 512, 4096
 EMPTY = "f" * (4 * SAMPLES)
 
 
@@ -33,10 +34,10 @@ def _draws(terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """r, ln c and b of each term (row) and coordinate (column)."""
     salt = mix64(np.arange(1, 2 * SAMPLES + 1, dtype=np.uint64) + np.uint64(SEED << 32))
     uniform = []
-    for part in range(2):
+    for part, shifts in ((0, (43, 22, 1)), (1, (43, 22))):
         h = mix64(terms[:, None] ^ salt[None, part * SAMPLES : (part + 1) * SAMPLES])
-        # Three uniform values in (0, 1) of 21 bits each.
-        for shift in (43, 22, 1):
+        # Uniform values in (0, 1) of 21 bits each.
+        for shift in shifts:
             bits = ((h >> np.uint64(shift)) & np.uint64((1 << 21) - 1)).astype(np.float32)
             uniform.append((bits + np.float32(0.5)) * np.float32(2.0**-21))
     r = -np.log(uniform[0] * uniform[1])
@@ -44,28 +45,50 @@ def _draws(terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return r, np.log(c), uniform[4]
 
 
-def _packed(terms: np.ndarray, weights: np.ndarray, r: np.ndarray, lnc: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """ln a as an ordered 32-bit key above 32 bits of hash of (term, t)."""
-    t = np.floor(np.log(weights.astype(np.float32))[:, None] / r + b)
-    lna = (lnc - r * (t - b) - r).astype(np.float32)
-    bits = lna.view(np.uint32)
+def _packed(terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """ln a as an ordered 32-bit key above 32 bits of hash of (term, t).
+
+    Weight 1 has t = 0 in all coordinates, so it needs no logarithm and one hash.
+    """
+    r, lnc, b = _draws(terms)
+    many = np.flatnonzero(weights > 1)
+    t = np.zeros((len(many), SAMPLES), np.float32)
+    lna = lnc + r * b - r
+    pair = np.repeat(mix64(terms)[:, None], SAMPLES, 1)
+    if len(many):
+        t = np.floor(np.log(weights[many].astype(np.float32))[:, None] / r[many] + b[many])
+        lna[many] = lnc[many] - r[many] * (t - b[many]) - r[many]
+        steps = t.astype(np.int64).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        pair[many] = mix64(terms[many, None] + steps)
+    bits = lna.astype(np.float32).view(np.uint32)
     order = np.where(bits >> np.uint32(31), ~bits, bits | np.uint32(1 << 31)).astype(np.uint64)
-    pair = mix64(terms[:, None] + t.astype(np.int64).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     return (order << np.uint64(32)) | (pair >> np.uint64(32))
 
 
 def _sample(terms: np.ndarray, weights: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """The smallest packed value of each segment and coordinate."""
-    unique, place = np.unique(terms, return_inverse=True)
-    r, lnc, b = _draws(unique)
-    single = _packed(unique, np.ones(len(unique)), r, lnc, b)
-    values = single[place]
-    many = np.flatnonzero(weights > 1)
-    for at in range(0, len(many), 1 << 14):
-        rows = many[at : at + (1 << 14)]
-        of = place[rows]
-        values[rows] = _packed(terms[rows], weights[rows], r[of], lnc[of], b[of])
-    return np.minimum.reduceat(values, starts, axis=0)
+    """The smallest packed value of each segment and coordinate.
+
+    Each distinct (term, weight) is drawn once, ``DRAWN`` at a time, and segments are
+    folded some ``FOLDED`` terms at a time, so that the arrays stay in the cache.
+    """
+    order = np.lexsort((weights, terms))
+    t, w = terms[order], weights[order]
+    first = np.append(True, (t[1:] != t[:-1]) | (w[1:] != w[:-1]))
+    place = np.empty(len(order), np.int64)
+    place[order] = np.cumsum(first) - 1
+    t, w = t[first], w[first]
+    packed = np.empty((len(t), SAMPLES), np.uint64)
+    for at in range(0, len(t), DRAWN):
+        packed[at : at + DRAWN] = _packed(t[at : at + DRAWN], w[at : at + DRAWN])
+    out = np.empty((len(starts), SAMPLES), np.uint64)
+    ends = np.append(starts[1:], len(terms))
+    at = 0
+    while at < len(starts):
+        to = max(at + 1, int(np.searchsorted(ends, starts[at] + FOLDED, "right")))
+        values = packed[place[starts[at] : ends[to - 1]]]
+        out[at:to] = np.minimum.reduceat(values, starts[at:to] - starts[at], axis=0)
+        at = to
+    return out
 
 
 def fingerprints(texts: list[str]) -> list[str]:

@@ -16,6 +16,7 @@ columns other than the id and the text are ignored.
 
 from __future__ import annotations
 
+import math
 from functools import lru_cache
 from itertools import chain
 
@@ -58,33 +59,85 @@ class PieceCoder:
         for b, i in enumerate(self.byte_ids):
             self.data[i] = bytes([b])
         self._piece_keys()
+        self.halves: dict[str, tuple[str, str] | None] = {}
         self.pairs: dict[int, bool] = {}
+        # Words of late and, before them, of earlier batches: what is in use stays.
         self.words: dict[str, tuple[int, ...]] = {}
+        self.earlier: dict[str, tuple[int, ...]] = {}
 
-    # --- merging, for single pairs only ---------------------------------
+    # --- merging, for single pieces and pairs ------------------------------
 
-    def _merged(self, text: str) -> list[str]:
-        """Best score first, leftmost first."""
-        parts = list(text)
+    def _merged(self, text: str) -> tuple[list[str], tuple[str, str]]:
+        """Best score first, leftmost first; and the two parts of the last merge."""
+        parts, last = list(text), ("", "")
         while True:
             best = min(
                 ((-self.scores[p], i) for i in range(len(parts) - 1) if (p := parts[i] + parts[i + 1]) in self.scores),
                 default=None,
             )
             if best is None:
-                return parts
+                return parts, last
             i = best[1]
+            last = parts[i], parts[i + 1]
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
 
+    def _time(self, piece: str) -> float:
+        """When a piece comes about: the better the score, the earlier; characters are there first."""
+        return -self.scores[piece] if len(piece) > 1 else -math.inf
+
+    def _halves(self, piece: str) -> tuple[str, str] | None:
+        """What a piece is merged from; ("", "") if never, None if its parts are not older than it."""
+        found = self.halves.get(piece, False)
+        if found is not False:
+            return found
+        if len(piece) == 1:
+            out = piece, ""
+        else:
+            parts, last = self._merged(piece)
+            out = ("", "")
+            if parts == [piece]:
+                whole = self._halves(last[0]), self._halves(last[1])
+                older = max(map(self._time, last)) < self._time(piece)
+                out = last if older and None not in whole else None
+        self.halves[piece] = out
+        return out
+
     def _stays(self, left: int, right: int) -> bool:
         """Whether right stands as a piece behind left (-1: at the start of a word)."""
         key = (left + 1) << 32 | right
         known = self.pairs.get(key)
         if known is None:
-            want = [self.piece[right]] if left < 0 else [self.piece[left], self.piece[right]]
-            known = self.pairs[key] = self._merged("".join(want)) == want
+            if left < 0:
+                known = self._halves(self.piece[right]) != ("", "")
+            else:
+                known = self._apart(self.piece[left], self.piece[right])
+            self.pairs[key] = known
         return known
 
+    def _apart(self, a: str, b: str) -> bool:
+        """Whether the merges of both texts end in just this pair.
+
+        Looks back in time: take apart the younger of the two at the border, and see
+        whether a merge across the border would have come first. Of merges of equal
+        score the left one comes first.
+        """
+        whole = self._halves(a), self._halves(b)
+        if ("", "") in whole:
+            return False
+        if None in whole:
+            return self._merged(a + b)[0] == [a, b]
+        before, also = math.inf, False
+        while True:
+            across = a + b
+            if across in self.scores and ((time := -self.scores[across]) < before or also and time == before):
+                return False
+            if len(a) == 1 and len(b) == 1:
+                return True
+            if self._time(a) > self._time(b):
+                before, also, a = self._time(a), False, self._halves(a)[1]
+            else:
+                before, also, b = self._time(b), True, self._halves(b)[0]
+
     # --- suffix array and piece ranges ------------------------------------
 
     def _piece_keys(self) -> None:
@@ -217,10 +270,13 @@ class PieceCoder:
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         split = [self.words_of(t) for t in texts]
+        if len(self.words) >= CACHED // 2:
+            self.words, self.earlier = {}, self.words
         known = self.words
-        if len(known) >= CACHED:
-            known.clear()
-        new = list(set(chain.from_iterable(split)).difference(known))
+        missing = set(chain.from_iterable(split)).difference(known)
+        kept = missing & self.earlier.keys()
+        known.update((w, self.earlier[w]) for w in kept)
+        new = list(missing - kept)
         if len(self.pairs) >= 2 * CACHED:
             self.pairs.clear()
         for at in range(0, len(new), PART):
