@@ -15,6 +15,7 @@ from tallyhouse.session import remove_scratch, scratch_path
 
 # Ids and other keys are broadcast only after a count found at most so many.
 SMALL_KEYS = 500_000
+SLICE_BYTES = 4 << 20
 
 _written: list[str] = []
 
@@ -80,8 +81,8 @@ def map_batches(
         work = make()
         types = _arrow_types(schema)
         for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                columns = work(whole.slice(at, 1000))
+            for part in slices(whole):
+                columns = work(part)
                 arrays = [
                     c if isinstance(c := columns[n], pa.Array) else pa.array(c, types[n]) for n in names
                 ]
@@ -90,6 +91,15 @@ def map_batches(
     return df.mapInArrow(run, schema)
 
 
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch of at most 1,000 rows and, but for single rows, some ``SLICE_BYTES``."""
+    rows = 1000
+    if batch.num_rows:
+        rows = max(1, min(rows, SLICE_BYTES * batch.num_rows // max(batch.nbytes, 1)))
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 def _arrow_types(schema: str) -> dict[str, pa.DataType]:
     """Arrow types of a flat DDL schema."""
     kinds = {

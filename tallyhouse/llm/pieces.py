@@ -222,36 +222,42 @@ class PieceCoder:
             s, e, t = starts[lo:hi], ends[lo:hi], ids[lo:hi]
             before = np.where(s == begins[home[lo:hi]], -1, last[s])
             pairs, where = np.unique((np.maximum(before, -1) + 1) << 32 | t, return_inverse=True)
-            stays = np.array([self._known(int(p)) for p in pairs])[where]
+            stays = self._known(pairs.tolist())[where]
             last[e[stays]] = t[stays]
             source[e[stays]] = s[stays]
         return self._trace(text, sizes, begins, last, source)
 
-    def _known(self, key: int) -> bool:
-        known = self.pairs.get(key)
-        return self._stays((key >> 32) - 1, key & 0xFFFFFFFF) if known is None else known
+    def _known(self, keys: list[int]) -> np.ndarray:
+        found = list(map(self.pairs.get, keys))
+        if None in found:
+            found = [self._stays((k >> 32) - 1, k & 0xFFFFFFFF) if v is None else v for k, v in zip(keys, found)]
+        return np.array(found, bool)
 
     def _trace(self, text: str, sizes, begins, last, source) -> list[tuple[int, ...]]:
         """Follow the sources back from the end of every word, all words at once."""
-        at = begins + sizes
-        words, steps, found = np.arange(len(sizes)), [], []
-        live = sizes > 0
-        words, at = words[live], at[live]
+        words = np.flatnonzero(sizes > 0)
+        at = (begins + sizes)[words]
+        found = []
         while len(words):
             found.append((words, last[at], at))
             at = source[at]
             more = at > begins[words]
             words, at = words[more], at[more]
-        out: list[list[int]] = [[] for _ in range(len(sizes))]
-        for step in reversed(found):
-            steps.append(step)
-        for which, token, end in steps:
-            for w, t, e in zip(which.tolist(), token.tolist(), end.tolist()):
-                if t >= 0:
-                    out[w].append(t)
-                else:
-                    out[w] += [self.byte_ids[b] for b in text[e - 1].encode()]
-        return [tuple(o) for o in out]
+        if not found:
+            return [()] * len(sizes)
+        # The last step found is a word's first piece.
+        word, token, end = (np.concatenate(x) for x in zip(*found[::-1]))
+        order = np.argsort(word, kind="stable")
+        word, token, end = word[order], token[order], end[order]
+        bounds = np.cumsum(np.bincount(word, minlength=len(sizes))).tolist()
+        ids = token.tolist()
+        out = [tuple(ids[lo:hi]) for lo, hi in zip([0, *bounds], bounds)]
+        for w in np.unique(word[token < 0]).tolist():
+            pairs = zip(out[w], end[bounds[w] - len(out[w]) : bounds[w]].tolist())
+            out[w] = tuple(
+                chain.from_iterable((t,) if t >= 0 else (self.byte_ids[b] for b in text[e - 1].encode()) for t, e in pairs)
+            )
+        return out
 
     # --- texts ---------------------------------------------------------------
 
@@ -295,6 +301,11 @@ def coder(path: str) -> PieceCoder:
     return PieceCoder(path)
 
 
+def _lists(ids: list[list[int]]) -> pa.ListArray:
+    offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+    return pa.ListArray.from_arrays(offsets, np.fromiter(chain.from_iterable(ids), np.int32, int(offsets[-1])))
+
+
 def encode(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_pieces, pieces (ids)."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
@@ -304,14 +315,7 @@ def encode(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", text_col
 
         def work(batch: pa.RecordBatch) -> dict[str, object]:
             ids = pieces.encode([t or "" for t in batch.column("text").to_pylist()])
-            flat = np.fromiter(chain.from_iterable(ids), np.int32)
-            sizes = [len(x) for x in ids]
-            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-            return {
-                "doc_id": batch.column("doc_id"),
-                "n_pieces": sizes,
-                "pieces": pa.ListArray.from_arrays(offsets, flat),
-            }
+            return {"doc_id": batch.column("doc_id"), "n_pieces": [len(x) for x in ids], "pieces": _lists(ids)}
 
         return work
 
@@ -347,7 +351,7 @@ def round_trip(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", text
             return {
                 "doc_id": batch.column("doc_id"),
                 "n_pieces": [len(x) for x in ids],
-                "pieces": ids,
+                "pieces": _lists(ids),
                 "exact": [pieces.decode(x) == t for x, t in zip(ids, texts)],
             }
 

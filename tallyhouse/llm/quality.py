@@ -33,7 +33,7 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -52,13 +52,13 @@ SLOPE = 0.5  # at most so much a byte's logarithm gains by e times the trusted t
 # good documents weighs against accepting the same share of the bad ones.
 LEAST, MOST, STEP = 1.0, 4.0, 0.05
 CLEAN_WEIGHT = 2.0
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 12 << 20
 FAN_IN = 64
 FOLDS = 5
 # What a document is to the model; the fold it is judged without is a column of its own.
 OTHER, TRUSTED = 0, 1
 MAIN = 0  # the fold that the model of all other documents leaves out
-HELD_GRAMS = 1 << 21
+HELD_GRAMS = 1 << 20
 
 
 def grams_of(text: str | None) -> np.ndarray:
@@ -91,13 +91,41 @@ def _unpack(packed: bytes, shard: int) -> np.ndarray:
 
 def _merge(grams: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct grams with summed counts, ordered by shard."""
-    unique, place = np.unique(np.concatenate(grams), return_inverse=True)
-    total = np.zeros(len(unique), np.int64)
-    np.add.at(total, place, np.concatenate(counts))
-    order = np.argsort((unique >> np.uint64(8)) & np.uint64(255), kind="stable")
+    every, count = np.concatenate(grams), np.concatenate(counts)
+    order = np.argsort(every, kind="stable")
+    every, count = every[order], count[order]
+    first = np.flatnonzero(np.append(True, every[1:] != every[:-1])) if len(every) else np.zeros(0, np.int64)
+    unique = every[first]
+    total = np.add.reduceat(count, first) if len(every) else count
+    order = _shard_order(unique)
     return unique[order], total[order]
 
 
+def _shard_order(grams: np.ndarray) -> np.ndarray:
+    """Order of rising grams by their shard, the next-to-last byte."""
+    return np.argsort((grams >> np.uint64(8)).astype(np.uint8), kind="stable")
+
+
+def _texts(column: pa.ChunkedArray) -> Iterator[str | None]:
+    """One value at a time, so that a block's texts aren't copied as a whole."""
+    for chunk in column.chunks:
+        for value in chunk:
+            yield value.as_py()
+
+
+def _distinct(langs: list[str], texts: Iterator[str | None], wanted: Callable[[str], bool]) -> dict[str, np.ndarray]:
+    """Per language the distinct grams of its texts, rising."""
+    held: dict[str, list[np.ndarray]] = defaultdict(list)
+    sizes: dict[str, int] = defaultdict(int)
+    for lang, text in zip(langs, texts):
+        if text and wanted(lang):
+            held[lang].append(np.unique(grams_of(text)))
+            sizes[lang] += len(held[lang][-1])
+            if sizes[lang] >= HELD_GRAMS // 2:
+                held[lang], sizes[lang] = [np.unique(np.concatenate(held[lang]))], 0
+    return {lang: np.unique(np.concatenate(found)) for lang, found in held.items()}
+
+
 PACKED = "part int,fold int,lang string,shard int,grams binary,counts binary"
 
 
@@ -231,6 +259,12 @@ def _statistics(model: DataFrame) -> tuple[dict, dict]:
     return discounts, unigrams
 
 
+def _done(table: pa.Table) -> pa.Table:
+    """A group's result; what the group held goes back to the system before the next one."""
+    pa.default_memory_pool().release_unused()
+    return table
+
+
 def discount(ones: np.ndarray) -> np.ndarray:
     """Discounts of counts 0, 1, 2 and from 3 on, from the numbers of counts 1 to 4."""
     n1, n2, n3, n4 = (max(float(n), 1.0) for n in ones)
@@ -278,22 +312,16 @@ def _scored(dealt: DataFrame, blocks: int, model: DataFrame, discounts: dict, un
     block's fold; they are null without trusted text there.
     """
 
+    def judged(fold: int) -> Callable[[str], bool]:
+        return lambda lang: (fold, lang) in unigrams or (MAIN, lang) in unigrams
+
     def gather(group: pa.Table) -> pa.Table:
         block, fold = group["block"][0].as_py(), group["fold"][0].as_py()
-        held: dict[str, list[np.ndarray]] = defaultdict(list)
-        sizes: dict[str, int] = defaultdict(int)
-        for lang, text in zip(group["lang"].to_pylist(), group["text"].to_pylist()):
-            if text and ((fold, lang) in unigrams or (MAIN, lang) in unigrams):
-                held[lang].append(np.unique(grams_of(text)))
-                sizes[lang] += len(held[lang][-1])
-                if sizes[lang] >= HELD_GRAMS // 2:
-                    held[lang], sizes[lang] = [np.unique(np.concatenate(held[lang]))], 0
         rows = []
-        for lang, found in held.items():
-            grams = np.unique(np.concatenate(found))
-            grams = grams[np.argsort((grams >> np.uint64(8)) & np.uint64(255), kind="stable")]
+        for lang, grams in _distinct(group["lang"].to_pylist(), _texts(group["text"]), judged(fold)).items():
+            grams = grams[_shard_order(grams)]
             rows += [(block, fold, lang, s, _pack(grams[at]), b"") for s, at in _by_shard(grams)]
-        return pa.Table.from_batches([_packed_rows(rows)])
+        return _done(pa.Table.from_batches([_packed_rows(rows)]))
 
     def look_up(model_rows: pa.Table, asked: pa.Table) -> pa.Table:
         out = []
@@ -320,21 +348,29 @@ def _scored(dealt: DataFrame, blocks: int, model: DataFrame, discounts: dict, un
                 queries = _unpack(packed, shard)
                 main = logs(queries, MAIN)
                 # Rows of fold MAIN carry one logarithm an n-gram, others those of both models.
-                out.append((block, fold, lang, shard, packed, main, b"" if fold == MAIN else logs(queries, fold)))
-        names = ["part", "fold", "lang", "shard", "grams", "main", "cross"]
-        types = [pa.int32(), pa.int32(), pa.string(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
-        return pa.table([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names)
+                # The block knows its n-grams and their order, so only these return.
+                out.append((block, lang, shard, main, b"" if fold == MAIN else logs(queries, fold)))
+        names = ["part", "lang", "shard", "main", "cross"]
+        types = [pa.int32(), pa.string(), pa.int32(), pa.binary(), pa.binary()]
+        return _done(pa.table([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names))
 
     def total(texts: pa.Table, known: pa.Table) -> pa.Table:
         tables, fold = {}, texts["fold"][0].as_py() if texts.num_rows else MAIN
-        for lang in set(known["lang"].to_pylist()):
-            of = known.filter(pc.equal(known["lang"], lang))
-            grams = np.concatenate(_grams(of))
-            order = np.argsort(grams)
-            found = [np.frombuffer(b"".join(of[c].to_pylist()), np.float32) for c in ("main", "cross")]
-            tables[lang] = grams[order], *(x[order] if len(x) else None for x in found)
+        langs = texts["lang"].to_pylist()
+        answered = set(known["lang"].to_pylist())
+        for lang, grams in _distinct(langs, _texts(texts["text"]), answered.__contains__).items():
+            of = known.filter(pc.equal(known["lang"], lang)).sort_by("shard")
+            back = _shard_order(grams)
+            logs = []
+            for c in ("main", "cross"):
+                found = np.frombuffer(b"".join(of[c].to_pylist()), np.float32)
+                logs.append(None)
+                if len(found):
+                    logs[-1] = np.empty(len(grams), np.float32)
+                    logs[-1][back] = found
+            tables[lang] = grams, *logs
         sizes, sums, crosses = [], [], []
-        for lang, text in zip(texts["lang"].to_pylist(), texts["text"].to_pylist()):
+        for lang, text in zip(langs, _texts(texts["text"])):
             grams = grams_of(text)
             sizes.append(len(grams))
             main = cross = None
@@ -344,7 +380,7 @@ def _scored(dealt: DataFrame, blocks: int, model: DataFrame, discounts: dict, un
                 main, cross = (float(x[at].sum(dtype=np.float64)) if x is not None else None for x in logs)
             sums.append(main)
             crosses.append(main if fold == MAIN else cross)
-        return pa.table(
+        return _done(pa.table(
             {
                 "row_key": texts["row_key"],
                 "doc_id": texts["doc_id"],
@@ -356,7 +392,7 @@ def _scored(dealt: DataFrame, blocks: int, model: DataFrame, discounts: dict, un
                 "log_sum": pa.array(sums, pa.float64()),
                 "cross_sum": pa.array(crosses, pa.float64()),
             }
-        )
+        ))
 
     chunk = F.floor(F.col("part") / FAN_IN)
     asked = dealt.groupBy("block").applyInArrow(gather, PACKED).withColumn("chunk", chunk)
@@ -366,7 +402,7 @@ def _scored(dealt: DataFrame, blocks: int, model: DataFrame, discounts: dict, un
     answered = (
         copies.groupBy("lang", "shard", "chunk")
         .cogroup(asked.groupBy("lang", "shard", "chunk"))
-        .applyInArrow(look_up, "part int,fold int,lang string,shard int,grams binary,main binary,cross binary")
+        .applyInArrow(look_up, "part int,lang string,shard int,main binary,cross binary")
     )
     answered = answered.withColumn("block", F.col("part"))
     return dealt.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(
