@@ -20,12 +20,13 @@ def clamp_per_category(limit: int) -> int:
 
 
 def resolve_period(
-    start: date | None, end: date | None, today: date | None = None
+    start: date | str | None, end: date | str | None, today: date | None = None
 ) -> tuple[date, date]:
     """The given closed period, or the last 90 days if none is given.
 
     A period with one bound only, or one that ends before it starts, is an error.
     """
+    start, end = (date.fromisoformat(d) if isinstance(d, str) else d for d in (start, end))
     if (start is None) != (end is None):
         raise ValueError("a period needs both its start and its end")
     if start is None or end is None:

@@ -13,6 +13,7 @@ from tallyhouse.operators.paging import (
     clamp_page,
     clamp_per_category,
     page,
+    resolve_period,
     sort_columns,
 )
 
@@ -84,22 +85,25 @@ def product_sales(
     rollup: DataFrame,
     products: DataFrame,
     categories: DataFrame,
-    start: date | str,
-    end: date | str,
+    start: date | str | None = None,
+    end: date | str | None = None,
     closure: DataFrame | None = None,
     category_id: Column | int | None = None,
     search: str | None = None,
+    today: date | None = None,
 ) -> DataFrame:
-    """Sales per product over a period.
+    """Sales per product over a period, without one over the last 90 days.
 
     The category filter tests the category stored in the rollup; the category
-    shown is the product's current one.
+    shown is the product's current one. A search drops the other products' days
+    before they are summed up.
     """
-    days = sales_days(rollup, start, end)
+    days = sales_days(rollup, *resolve_period(start, end, today))
     if category_id is not None:
         days = in_subtree(days, closure, category_id)
     if search:
         products = products.filter(contains("name", search))
+        days = days.join(products.select("product_id"), "product_id", "left_semi")
     per_product = days.groupBy("product_id").agg(*_measures())
     return (
         per_product.join(
@@ -133,10 +137,11 @@ def top_products_by_category(
     rollup: DataFrame,
     products: DataFrame,
     closure: DataFrame,
-    start: date | str,
-    end: date | str,
+    start: date | str | None = None,
+    end: date | str | None = None,
     per_category: int = 5,
     root_category_id: Column | int | None = None,
+    today: date | None = None,
 ) -> DataFrame:
     """Top N products within each top-level category.
 
@@ -144,6 +149,7 @@ def top_products_by_category(
     before the shuffle, so even a category with most of the products moves a
     handful of rows; names are joined to the winners only.
     """
+    start, end = resolve_period(start, end, today)
     roots = closure.select(
         "category_id",
         F.col("root_category_id").alias("root_id"),
@@ -186,16 +192,17 @@ def top_products_by_category(
 
 def sales_trends(
     rollup: DataFrame,
-    start: date | str,
-    end: date | str,
+    start: date | str | None = None,
+    end: date | str | None = None,
     granularity: str = "DAY",
     closure: DataFrame | None = None,
     category_id: Column | int | None = None,
+    today: date | None = None,
 ) -> DataFrame:
     """Sums and distinct products per calendar bucket (weeks start on Monday)."""
     if granularity not in GRANULARITIES:
         raise ValueError(f"unsupported granularity: {granularity!r}")
-    days = sales_days(rollup, start, end)
+    days = sales_days(rollup, *resolve_period(start, end, today))
     if category_id is not None:
         days = in_subtree(days, closure, category_id)
     bucket = F.date_trunc(granularity.lower(), "sale_date").cast("date")

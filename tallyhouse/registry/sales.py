@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyhouse.operators import rollups
 from tallyhouse.plans import reports
 from tallyhouse.registry import query
 from tallyhouse.registry.common import END, START, closure, daily, metrics, plain, summary
-from tallyhouse.registry.oracle import text_id, with_parts
+from tallyhouse.registry.oracle import REVENUE, text_id, with_parts
 from tallyhouse.sources import sample
 
 IN_PERIOD = f"sale_date BETWEEN DATE '{START}' AND DATE '{END}'"
@@ -27,27 +29,32 @@ def daily_sales_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(daily(spark, sf_dir))
 
 
-TOP_SQL = """
-    SELECT category_id, category_name, product_id, product_name, sku, units_sold,
-           net_revenue::DOUBLE AS net_revenue, order_count, rank::INTEGER AS rank
-    FROM (
-        SELECT *, row_number() OVER (PARTITION BY category_id
-                                     ORDER BY net_revenue DESC, product_id) AS rank
-        FROM (
-            SELECT c.root_category_id AS category_id, c.root_category_name AS category_name,
-                   p.product_id, p.name AS product_name, p.sku,
-                   sum(d.units_sold)::BIGINT AS units_sold, sum(d.net_revenue) AS net_revenue,
-                   sum(d.order_count)::BIGINT AS order_count
-            FROM e_daily d JOIN e_products p ON p.product_id = d.product_id
-            JOIN e_closure c ON c.category_id = d.category_id
-            WHERE {where} GROUP BY ALL
-        ) per_product
-    ) ranked WHERE rank <= {n}"""
+TOP_PARTS = ("e_items", "e_orders", "e_products", "e_closure")
+
+
+def top_sql(n: int, where: str = "TRUE") -> str:
+    """Straight from the lines of the period."""
+    return f"""
+    SELECT r.root_category_id AS category_id, r.root_category_name AS category_name,
+           i.product_id, p.name AS product_name, p.sku,
+           CAST(sum(i.quantity) AS BIGINT) AS units_sold,
+           CAST(sum(i.line_revenue) AS DOUBLE) AS net_revenue,
+           count(DISTINCT i.order_id) AS order_count,
+           CAST(row_number() OVER best AS INTEGER) AS rank
+    FROM e_items i
+    SEMI JOIN (SELECT order_id, order_date FROM e_orders WHERE {REVENUE}) o
+        ON i.order_id = o.order_id AND i.order_date = o.order_date
+    JOIN e_products p ON i.product_id = p.product_id
+    JOIN e_closure r ON p.category_id = r.category_id
+    WHERE CAST(i.order_date AS DATE) BETWEEN DATE '{START}' AND DATE '{END}' AND {where}
+    GROUP BY r.root_category_id, r.root_category_name, i.product_id, p.name, p.sku
+    WINDOW best AS (PARTITION BY r.root_category_id ORDER BY sum(i.line_revenue) DESC, i.product_id)
+    QUALIFY row_number() OVER best <= {n}"""
 
 
 @query(
     "top_products_by_category",
-    with_parts(TOP_SQL.format(where=IN_PERIOD, n=5), "e_daily", "e_closure"),
+    with_parts(top_sql(5), *TOP_PARTS),
 )
 def top_products_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(
@@ -63,11 +70,7 @@ def top_products_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "top_products_one_category",
-    with_parts(
-        TOP_SQL.format(where=f"{IN_PERIOD} AND c.root_category_id = {text_id(chr(39) + 'PROMO' + chr(39))}", n=10),
-        "e_daily",
-        "e_closure",
-    ),
+    with_parts(top_sql(10, f"r.root_category_id = {text_id(chr(39) + 'PROMO' + chr(39))}"), *TOP_PARTS),
 )
 def top_products_one_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(
@@ -259,3 +262,25 @@ def sales_trend_category(spark: SparkSession, sf_dir: str) -> DataFrame:
             category_id=sample.text_id(F.lit("PROMO")),
         )
     )
+
+
+@query(
+    "product_sales_default_period",
+    with_parts(
+        f"""SELECT p.product_id, p.name AS product_name, p.sku, p.category_id, k.name AS category_name, {MEASURES}
+            FROM e_daily d JOIN e_products p ON p.product_id = d.product_id
+            JOIN e_categories k ON k.category_id = p.category_id
+            WHERE d.sale_date BETWEEN DATE '1998-08-02' - 90 AND DATE '1998-08-02' GROUP BY ALL""",
+        "e_daily",
+        "e_categories",
+    ),
+)
+def product_sales_default_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Without a period: the 90 days up to the given day."""
+    sales = reports.product_sales(
+        daily(spark, sf_dir),
+        sample.products(spark, sf_dir),
+        sample.categories(spark, sf_dir),
+        today=date(1998, 8, 2),
+    )
+    return plain(sales)
