@@ -10,50 +10,55 @@ from tallyhouse.session import BROADCAST_ROW_LIMIT, broadcast_if_small, cut_line
 def category_closure(categories: DataFrame) -> DataFrame:
     """Each category reachable from a root, with its root, depth and path.
 
-    One join per tree level, checkpointed so that neither lineage nor
-    recomputation grows with depth; there is no cap on depth or row count.
-    Categories caught in a cycle hang below no root and are absent. The result
-    carries a broadcast hint only if the counted rows allow it.
+    Paths double: each row knows the stretch of its path from below some ancestor
+    ``above`` down to itself, and a round puts that ancestor's stretch before it.
+    So a tree of depth d takes about log2(d) joins, each checkpointed, and there is
+    no cap on depth or row count. While rows below a root are unfinished, a round
+    finishes some of them; once it finishes none, the rest hangs on a cycle and is
+    left out, as is what hangs below an absent parent. The result carries a
+    broadcast hint only if the counted rows allow it.
     """
-    nodes = cut_lineage(categories.select("category_id", "name", "parent_id"))
-    level = cut_lineage(
-        nodes.filter(F.col("parent_id").isNull()).select(
+    stretches = cut_lineage(
+        categories.select(
             "category_id",
             "name",
             "parent_id",
-            F.col("category_id").alias("root_category_id"),
-            F.col("name").alias("root_category_name"),
-            F.lit(1).alias("depth"),
+            F.col("parent_id").alias("above"),
             F.array("category_id").alias("path"),
+            F.col("name").alias("top_name"),
         )
     )
-    closure, found = level, level.count()
-    rows = found
-    while found:
-        parent = level.select(
-            F.col("category_id").alias("parent_id"),
-            "root_category_id",
-            "root_category_name",
-            F.col("depth").alias("parent_depth"),
-            F.col("path").alias("parent_path"),
+    ended, pending = F.col("above").isNull(), F.col("above").isNotNull()
+    done, rest = stretches.filter(ended), stretches.filter(pending)
+    rows, before, unfinished = stretches.count(), -1, rest.count()
+    while unfinished and unfinished != before:
+        upper = done.unionByName(rest).select(
+            F.col("category_id").alias("above"),
+            F.col("above").alias("next_above"),
+            F.col("path").alias("upper_path"),
+            F.col("top_name").alias("upper_top_name"),
         )
-        level = cut_lineage(
-            nodes.join(broadcast_if_small(parent, found), "parent_id")
-            .filter(~F.array_contains("parent_path", F.col("category_id")))
-            .select(
+        longer = cut_lineage(
+            rest.join(broadcast_if_small(upper, rows), "above").select(
                 "category_id",
                 "name",
                 "parent_id",
-                "root_category_id",
-                "root_category_name",
-                (F.col("parent_depth") + 1).alias("depth"),
-                F.concat("parent_path", F.array("category_id")).alias("path"),
+                F.col("next_above").alias("above"),
+                F.concat("upper_path", "path").alias("path"),
+                F.col("upper_top_name").alias("top_name"),
             )
         )
-        found = level.count()
-        rows += found
-        if found:
-            closure = closure.unionByName(level)
+        done, rest = done.unionByName(longer.filter(ended)), longer.filter(pending)
+        before, unfinished = unfinished, rest.count()
+    closure = done.select(
+        "category_id",
+        "name",
+        "parent_id",
+        F.get("path", F.lit(0)).alias("root_category_id"),
+        F.col("top_name").alias("root_category_name"),
+        F.size("path").alias("depth"),
+        "path",
+    )
     return F.broadcast(closure) if rows <= BROADCAST_ROW_LIMIT else closure
 
 

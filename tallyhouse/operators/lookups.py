@@ -6,12 +6,47 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from tallyhouse.model import Entity
+from tallyhouse.session import broadcast_if_small, cut_lineage
+from tallyhouse.sources.warehouse import Warehouse
+
 
 def lookup(keys: DataFrame, table: DataFrame, on: Sequence[str]) -> DataFrame:
     """One row per distinct key; a key without a match keeps a row of nulls."""
     return keys.select(*on).distinct().join(table, list(on), "left")
 
 
+def lookup_stored(warehouse: Warehouse, entity: Entity, keys: DataFrame) -> DataFrame:
+    """As ``lookup``, against a stored table, reading only partitions that can hold a key.
+
+    The key shards (or months) of the asked keys are literals of the scan, so files
+    of other partitions are not opened; there are never more of them than the table
+    has partitions. Null keys are left out.
+    """
+    on = list(entity.key)
+    asked = cut_lineage(keys.select(*on).dropna().distinct())
+    column = entity.partition_column
+    places = [r[0] for r in asked.select(warehouse.partition_of(entity)).distinct().collect()]
+    table = warehouse.read(entity.name).filter(F.col(column).isin(*places))
+    found = table.join(broadcast_if_small(asked), on, "left_semi")
+    return asked.join(found, on, "left")
+
+
+def rows_of_ids(warehouse: Warehouse, table: str, column: str, ids: Sequence[int | str]) -> DataFrame:
+    """Rows of a handful of ids that do not tell their partition.
+
+    Ten ids at a time become a filter that Parquet checks against its Bloom filters
+    (``BLOOM_COLUMNS``) before a row group is read; more are not passed on to it.
+    """
+    unique = list(dict.fromkeys(ids))
+    stored = warehouse.read(table)
+    lots = [stored.filter(F.col(column).isin(*unique[i : i + 10])) for i in range(0, len(unique), 10)]
+    out = lots[0] if lots else stored.limit(0)
+    for lot in lots[1:]:
+        out = out.unionByName(lot)
+    return out
+
+
 def lines_of(orders: DataFrame, items: DataFrame) -> DataFrame:
     """All lines of many orders, by the composite key (and month, so that the
     orders' months prune the line partitions)."""

@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tallyhouse import model
 from tallyhouse.operators import lookups
 from tallyhouse.plans import reports
+from tallyhouse.plans.job import utc_now
+from tallyhouse.plans.load import upsert
 from tallyhouse.registry import query
 from tallyhouse.registry.common import END, START, closure, daily, plain, summary
 from tallyhouse.registry.oracle import text_id, with_parts
 from tallyhouse.registry.sales import IN_PERIOD, PROMO, SUMMARY_SQL, page_sql
-from tallyhouse.session import cut_lineage
+from tallyhouse.session import cut_lineage, scratch_path
 from tallyhouse.sources import sample
+from tallyhouse.sources.warehouse import Warehouse
 
 CUSTOMER = 8
 CURSOR = ("1999-06-15 00:00:00", 700)
@@ -181,6 +185,43 @@ def product_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(lookups.lookup(keys, sample.products(spark, sf_dir), ["product_id"]))
 
 
+@query(
+    "product_lookup_stored",
+    with_parts(
+        f"""SELECT k.product_id, p.* EXCLUDE (product_id, created_at) FROM
+            (SELECT product_id * 3 AS product_id FROM e_products WHERE product_id % 97 = 0) k
+            LEFT JOIN (SELECT {PRODUCT_SQL} FROM e_products) p ON p.product_id = k.product_id""",
+        "e_products",
+    ),
+)
+def product_lookup_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A few ids, some of them unknown, looked up in a stored table by their key shards."""
+    warehouse = Warehouse(spark, scratch_path(spark, "lookup-tables"), 16)
+    products = sample.products(spark, sf_dir)
+    upsert(warehouse, model.PRODUCTS, products.select(*model.PRODUCTS.columns), utc_now())
+    keys = products.filter("product_id % 97 = 0").select((F.col("product_id") * 3).alias("product_id"))
+    return plain(lookups.lookup_stored(warehouse, model.PRODUCTS, keys).select(*model.PRODUCTS.columns))
+
+
+@query(
+    "orders_by_id",
+    with_parts(
+        """SELECT order_id, customer_id, order_date, status, total_amount::DOUBLE AS total_amount FROM e_orders
+           WHERE order_id IN (SELECT min(order_id) FROM e_orders GROUP BY year(order_date))""",
+        "e_orders",
+    ),
+)
+def orders_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of a few ids without their dates, found through Bloom filters of the stored months."""
+    warehouse = Warehouse(spark, scratch_path(spark, "lookup-tables"), 4)
+    orders = sample.orders(spark, sf_dir)
+    upsert(warehouse, model.ORDERS, orders.select(*model.ORDERS.columns), utc_now())
+    first = orders.groupBy(F.year("order_date")).agg(F.min("order_id").alias("order_id"))
+    ids = [r.order_id for r in first.collect()]
+    found = lookups.rows_of_ids(warehouse, "orders", "order_id", ids)
+    return plain(found.select("order_id", "customer_id", "order_date", "status", "total_amount"))
+
+
 @query(
     "customer_lookup",
     with_parts(

@@ -64,6 +64,31 @@ def region_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _path_text(category_closure(sample.region_tree(spark, sf_dir)))
 
 
+@query(
+    "deep_hierarchy",
+    with_parts(
+        """SELECT customer_id AS category_id, email AS name,
+                  CASE WHEN customer_id % 100 > 0 THEN customer_id - 1 END AS parent_id,
+                  customer_id - customer_id % 100 AS root_category_id,
+                  (SELECT any_value(r.email) FROM e_customers r
+                   WHERE r.customer_id = c.customer_id - c.customer_id % 100) AS root_category_name,
+                  (customer_id % 100 + 1)::INTEGER AS depth,
+                  array_to_string(range(customer_id - customer_id % 100, customer_id + 1), '/') AS path
+           FROM e_customers c WHERE customer_id >= 100 AND customer_id % 1000 < 990""",
+        "e_customers",
+    ),
+)
+def deep_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers in chains a hundred levels deep, ten of each thousand in a ring, the first chain without its root."""
+    number = F.col("customer_id")
+    ring = F.when(number % 1000 == 999, number - 9).when(number % 1000 >= 990, number + 1)
+    above = F.coalesce(ring, F.when(number % 100 > 0, number - 1))
+    tree = sample.customers(spark, sf_dir).select(
+        number.alias("category_id"), F.col("email").alias("name"), above.alias("parent_id")
+    )
+    return _path_text(category_closure(tree))
+
+
 DAYS = """
     SELECT unnest(generate_series(min(o_orderdate)::DATE, max(o_orderdate)::DATE,
                                   INTERVAL 1 DAY))::DATE AS date

@@ -23,6 +23,8 @@ from tallyhouse.operators import (
     updates,
 )
 from tallyhouse.plans import incremental, monitoring, quality, reports
+from tallyhouse.plans.load import upsert
+from tallyhouse.sources.warehouse import Warehouse
 
 NOW = datetime(2026, 6, 1)
 
@@ -109,6 +111,32 @@ def test_closure_has_roots_depths_and_no_cycles(spark):
     assert {r[0] for r in hierarchy.subtree(closure, 1).collect()} == {1, 2, 3}
 
 
+def test_closure_of_a_deep_tree(spark):
+    """A chain of 1,000, hung upside down so that ids tell nothing, beside a ring and an orphan."""
+    chain = [(i, f"n{i}", i + 1 if i < 1000 else None) for i in range(1, 1001)]
+    rest = [(2001, "a", 2002), (2002, "b", 2003), (2003, "c", 2001), (2004, "below a ring", 2001), (3001, "orphan", 3000), (4, "self", 4)]
+    tree = spark.createDataFrame(chain[:3] + chain[4:] + rest, "category_id long, name string, parent_id long")
+    got = {r.category_id: r for r in hierarchy.category_closure(tree).collect()}
+    assert set(got) == set(range(5, 1001))
+    assert got[5].depth == 996 and got[5].root_category_name == "n1000"
+    assert list(got[998].path) == [1000, 999, 998]
+    assert hierarchy.category_closure(tree.limit(0)).count() == 0
+
+
+def test_stored_lookup_reads_only_the_shards_of_its_keys(spark, tmp_path):
+    warehouse = Warehouse(spark, f"{tmp_path}/tables", 64)
+    rows = spark.range(2000).select(F.col("id").alias("category_id"), F.concat(F.lit("c"), "id").alias("name"))
+    rows = rows.withColumn("description", F.lit("")).withColumn("parent_id", F.lit(None).cast("bigint"))
+    upsert(warehouse, model.CATEGORIES, rows, datetime(2026, 1, 1))
+    keys = spark.createDataFrame([(3,), (3,), (700,), (-1,), (None,)], "category_id long")
+    found = lookups.lookup_stored(warehouse, model.CATEGORIES, keys)
+    assert {(r.category_id, r.name) for r in found.collect()} == {(3, "c3"), (700, "c700"), (-1, None)}
+    scan = found._jdf.queryExecution().toString()
+    wanted = scan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "shard" in wanted and wanted.count(",") <= 3
+    assert lookups.lookup_stored(warehouse, model.CATEGORIES, keys.limit(0)).count() == 0
+
+
 def test_date_dimension(spark):
     got = {r.date: r for r in calendar_dim.date_dimension(spark, "2026-01-01", "2026-12-31").collect()}
     assert len(got) == 365
