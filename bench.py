@@ -98,7 +98,7 @@ def main() -> None:
         reports.product_sales_page(sales).collect()
 
     def validate_lines() -> None:
-        raw = csv_source.read(spark, model.ORDER_ITEMS, folder, multi_line=False)
+        raw = csv_source.read(spark, model.ORDER_ITEMS, folder)
         validate.reason_counts(validate.classify(model.ORDER_ITEMS, raw)).collect()
 
     def upsert_orders() -> None:
