@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tallyhouse import model
 from tallyhouse.operators import audits, references, validate
@@ -290,6 +290,45 @@ def unique_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checked.select("product_id", "sku", F.col(REASON).alias("reject_reason"))
 
 
+CHAIN_KIND = "CASE WHEN inventory_count = 7 THEN 'stays' WHEN inventory_count % 10 = 3 THEN 'moves' END"
+
+
+@query(
+    "unique_chain",
+    with_parts(
+        """SELECT product_id, wanted AS sku, CASE WHEN kind IS NULL AND coalesce(
+                  first_value(kind IGNORE NULLS) OVER (PARTITION BY category_id ORDER BY product_id
+                      ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING),
+                  first_value(kind IGNORE NULLS) OVER (PARTITION BY category_id ORDER BY product_id
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) = 'stays'
+                  THEN 'duplicate_sku' END AS reject_reason
+           FROM c QUALIFY kind IS DISTINCT FROM 'stays'""",
+        "e_products",
+        c=f"""SELECT product_id, category_id, {CHAIN_KIND} AS kind,
+                     CASE WHEN inventory_count % 10 = 3 THEN 'NEW-' || product_id
+                         ELSE coalesce(lead(sku) OVER within, first_value(sku) OVER within) END AS wanted
+              FROM e_products WINDOW within AS (PARTITION BY category_id ORDER BY product_id)""",
+    ),
+)
+def unique_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every product of a category takes the next one's SKU, the last one the first's.
+
+    Some take a new SKU, which frees theirs; some are not in the batch, so the rows
+    that wait for theirs lose, one after the other. Rings without either exchange.
+    """
+    stored = sample.products(spark, sf_dir)
+    within = Window.partitionBy("category_id").orderBy("product_id")
+    wanted = F.coalesce(F.lead("sku").over(within), F.first("sku").over(within))
+    fresh = F.concat(F.lit("NEW-"), F.col("product_id"))
+    rows = (
+        stored.withColumn("sku", F.when(F.col("inventory_count") % 10 == 3, fresh).otherwise(wanted))
+        .filter("inventory_count <> 7")
+        .withColumn(REASON, F.lit(None).cast("string"))
+    )
+    checked = references.check_unique(model.PRODUCTS, rows, stored)
+    return checked.select("product_id", "sku", F.col(REASON).alias("reject_reason"))
+
+
 def entity_tables(spark: SparkSession, sf_dir: str) -> audits.Tables:
     return {
         "product_categories": sample.categories(spark, sf_dir),

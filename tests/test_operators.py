@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import random
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
@@ -24,6 +25,7 @@ from tallyhouse.operators import (
 )
 from tallyhouse.plans import incremental, monitoring, quality, reports
 from tallyhouse.plans.load import upsert
+from tallyhouse.session import cut_lineage
 from tallyhouse.sources.warehouse import Warehouse
 
 NOW = datetime(2026, 6, 1)
@@ -307,6 +309,62 @@ def test_uniqueness_to_a_fixpoint(spark):
     assert references.duplicate_claims(swap, stored, "product_id", "sku").isEmpty()
 
 
+def lost_round_by_round(batch, stored):
+    """Remove every row whose value is another's, until nothing more is removed."""
+    alive, lost = dict(batch), set()
+    while True:
+        claims = {}
+        for k, v in alive.items():
+            claims.setdefault(v, []).append((1, k))
+        for k, v in stored.items():
+            if k not in alive:
+                claims.setdefault(v, []).append((0, k))
+        gone = {k for k, v in alive.items() if v is not None and min(claims[v])[1] != k}
+        if not gone:
+            return lost
+        lost |= gone
+        alive = {k: v for k, v in alive.items() if k not in gone}
+
+
+def test_claims_equal_removal_round_by_round(spark):
+    """Many small cases at once: keys and values carry the number of their case."""
+    pick, schema = random.Random(5), "product_id long, sku string"
+    batch, stored, want = [], [], set()
+    for case in range(300):
+        keys, values = range(case * 100, case * 100 + 7), [f"{case}-{n}" for n in range(6)]
+        held = dict(zip(keys, pick.sample(values, pick.randint(0, 6))))
+        asked = {k: pick.choice([*values, None]) for k in keys if pick.random() < 0.7}
+        want |= lost_round_by_round(asked, held)
+        batch += asked.items()
+        stored += held.items()
+    lost = references.duplicate_claims(
+        spark.createDataFrame(batch, schema), spark.createDataFrame(stored, schema), "product_id", "sku"
+    ).collect()
+    assert len(lost) == len(want) and {r.product_id for r in lost} == want
+    assert all(dict(batch)[r.product_id] == r.sku for r in lost)
+
+
+@pytest.mark.parametrize("end", ["free", "taken", "ring"])
+def test_long_chain_of_swaps(spark, monkeypatch, end):
+    """1,000 rows in a row end in about ten rounds, whatever the last one wants."""
+    rounds = []
+    monkeypatch.setattr(references, "cut_lineage", lambda df: rounds.append(1) or cut_lineage(df))
+    schema, n = "product_id long, sku string", 1000
+    stored = spark.createDataFrame([(i, f"S{i}") for i in range(n + 1)], schema)
+    last = {"free": "new", "taken": f"S{n}", "ring": "S0"}[end]
+    batch = spark.createDataFrame([(i, f"S{i + 1}" if i < n - 1 else last) for i in range(n)], schema)
+    lost = references.duplicate_claims(batch, stored, "product_id", "sku")
+    assert lost.count() == (n if end == "taken" else 0)
+    assert len(rounds) <= 15
+
+
+def test_claims_on_empty_frames(spark):
+    schema = "product_id long, sku string"
+    none, some = spark.createDataFrame([], schema), spark.createDataFrame([(1, None), (2, "a")], schema)
+    for batch, stored in ((none, some), (some, none), (none, none), (some, some)):
+        assert references.duplicate_claims(batch, stored, "product_id", "sku").isEmpty()
+
+
 def test_change_sets_fold_and_claim(spark):
     products = spark.createDataFrame(
         [(i, f"n{i}", None, 1.0, None, 1, f"S{i}", 1, None, True) for i in range(1, 5)],
