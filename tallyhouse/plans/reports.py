@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyhouse.functions.money import sum_money
+from tallyhouse.operators import day_bitmaps
 from tallyhouse.operators.hierarchy import in_subtree
 from tallyhouse.operators.paging import (
     before_cursor,
@@ -213,6 +214,25 @@ def sales_trends(
     )
 
 
+def sales_trends_stored(
+    category_days: DataFrame,
+    start: date | str | None = None,
+    end: date | str | None = None,
+    granularity: str = "DAY",
+    closure: DataFrame | None = None,
+    category_id: Column | int | None = None,
+    today: date | None = None,
+) -> DataFrame:
+    """``sales_trends`` from the stored bitmaps: distinct products without a distinct."""
+    if granularity not in GRANULARITIES:
+        raise ValueError(f"unsupported granularity: {granularity!r}")
+    days = sales_days(category_days, *resolve_period(start, end, today))
+    if category_id is not None:
+        days = in_subtree(days, closure, category_id)
+    bucket = F.date_trunc(granularity.lower(), "sale_date").cast("date")
+    return day_bitmaps.trend(days, bucket).orderBy("bucket_start")
+
+
 def customer_list(
     summary: DataFrame,
     search: str | None = None,

@@ -13,16 +13,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyhouse import model
 from tallyhouse.functions.money import from_cents
-from tallyhouse.operators import audits, calendar_dim, rollups
+from tallyhouse.operators import audits, calendar_dim, order_directory, paging, rollups
 from tallyhouse.operators.hierarchy import category_closure
-from tallyhouse.plans import changes, check_ledger, edits, job, maintained, monitoring, quality
+from tallyhouse.plans import changes, check_ledger, edits, job, maintained, monitoring, quality, reports
 from tallyhouse.plans.load import EntityReport
 from tallyhouse.registry import query
 from tallyhouse.registry.cleaning import ENTITY_PARTS, _duplicate_sql
-from tallyhouse.registry.common import plain
+from tallyhouse.registry.common import END, START, plain
 from tallyhouse.registry.health import HISTORY, _history
 from tallyhouse.registry.oracle import PARTS, REVENUE, with_parts
-from tallyhouse.registry.sales import METRIC_COLUMNS
+from tallyhouse.registry.sales import METRIC_COLUMNS, PROMO
 from tallyhouse.session import remove_scratch, scratch_path
 from tallyhouse.sources import sample
 from tallyhouse.sources.ledger import SUCCEEDED, RunLedger
@@ -352,3 +352,96 @@ def rows_outside_seeded_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = sample.table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("timestamp").alias("moment"))
     events = sample.table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("moment"))
     return calendar_dim.undeclared_rows(orders.unionByName(events), "moment", calendar_dim.declared_months(spark))
+
+
+TREND_DAILY = f"""
+    SELECT i.order_date::DATE AS sale_date, i.product_id, p.category_id, sum(i.quantity)::BIGINT AS units_sold,
+           sum(i.line_revenue) AS net_revenue, sum(i.line_revenue + i.discount) AS gross_revenue,
+           sum(i.discount) AS discount_total, count(DISTINCT i.order_id) AS order_count
+    FROM c_items i JOIN c_orders o ON o.order_id = i.order_id AND o.order_date = i.order_date
+    JOIN e_products p ON p.product_id = i.product_id
+    WHERE {REVENUE} AND i.order_date::DATE BETWEEN DATE '{START}' AND DATE '{END}' GROUP BY 1, 2, 3"""
+
+
+def _trend_sql(name: str, unit: str, where: str = "TRUE") -> str:
+    return f"""SELECT '{name}' AS trend, date_trunc('{unit}', sale_date)::DATE AS bucket_start,
+        sum(units_sold)::BIGINT AS units_sold, sum(net_revenue)::DOUBLE AS net_revenue,
+        sum(gross_revenue)::DOUBLE AS gross_revenue, sum(discount_total)::DOUBLE AS discount_total,
+        sum(order_count)::BIGINT AS order_count, count(DISTINCT product_id) AS distinct_products
+        FROM d WHERE {where} GROUP BY ALL"""
+
+
+IN_PROMO = f"category_id IN (SELECT category_id FROM e_closure WHERE category_id = {PROMO} OR root_category_id = {PROMO})"
+TREND_PARTS = {"c_orders": CHANGED_ORDERS, "c_items": CHANGED_ITEMS, "d": TREND_DAILY}
+
+
+def _changed_category_days(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """Bitmaps of all months, then again of the months that the changes touch."""
+    warehouse = facts(spark, sf_dir)
+    for step in (lambda: None, lambda: change(warehouse)):
+        step()
+        changes.refresh_changed_months(warehouse, NOW)
+        changes.refresh_category_days(warehouse)
+    if changes.refresh_category_days(warehouse):
+        raise ValueError("bitmaps were made again without a change")
+    return warehouse
+
+
+@query(
+    "sales_trends_from_bitmaps",
+    with_parts(
+        "\nUNION ALL\n".join(
+            [*(_trend_sql(g, g.lower()) for g in reports.GRANULARITIES), _trend_sql("PROMO", "quarter", IN_PROMO)]
+        ),
+        "e_orders",
+        "e_items",
+        "e_products",
+        "e_closure",
+        **TREND_PARTS,
+    ),
+)
+def sales_trends_from_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All five granularities and a subtree from the same stored rows, after months changed."""
+    warehouse = _changed_category_days(spark, sf_dir)
+    days = warehouse.read("category_days")
+    closed = category_closure(warehouse.read("product_categories"))
+    trends = {g: reports.sales_trends_stored(days, START, END, g) for g in reports.GRANULARITIES}
+    trends["PROMO"] = reports.sales_trends_stored(
+        days, START, END, "QUARTER", closed, sample.text_id(F.lit("PROMO"))
+    )
+    return plain(audits.stacked([t.select(F.lit(name).alias("trend"), "*") for name, t in trends.items()]))
+
+
+# Pages of all orders, dearest first: the first, one across a border of ranges, a deep one, one
+# in the middle and one past the end.
+PAGES = {"first": (0, 50), "border": (990, 20), "deep": (10_000, 200), "past": (10_000_000, 10)}
+
+
+@query(
+    "order_directory_pages",
+    f"""SELECT p.page, o.order_id, o.total_amount::DOUBLE AS total_amount, o.total_count,
+               o.total_count > p.skip + p.size AS has_next_page
+        FROM (SELECT o_orderkey + 1 AS order_id, o_totalprice::DECIMAL(12,2) AS total_amount,
+                     count(*) OVER () AS total_count,
+                     row_number() OVER (ORDER BY o_totalprice::DECIMAL(12,2) DESC NULLS LAST, o_orderkey) AS n
+              FROM orders) o
+        JOIN (SELECT 'first' AS page, 0 AS skip, 50 AS size UNION ALL SELECT 'border', 990, 20
+              UNION ALL SELECT 'deep', 10000, 200 UNION ALL SELECT 'past', 10000000, 10
+              UNION ALL SELECT 'last', greatest(count(*) - 7, 0), 50 FROM orders) p
+        ON o.n > p.skip AND o.n <= p.skip + p.size""",
+)
+def order_directory_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of one stored order in ranges of about 1,000 rows."""
+    warehouse = Warehouse(spark, scratch_path(spark, "directories"))
+    listing = sample.orders(spark, sf_dir).select("order_id", "total_amount")
+    order = paging.sort_columns("TOTAL", {"TOTAL": "total_amount"}, True, "order_id")
+    order_directory.build(warehouse, "orders", listing, order, rows_per_range=1000)
+    last = {"last": (max(listing.count() - 7, 0), 50)}
+    return plain(
+        audits.stacked(
+            [
+                order_directory.page(warehouse, "orders", listing, size, skip).select(F.lit(page).alias("page"), "*")
+                for page, (skip, size) in (PAGES | last).items()
+            ]
+        )
+    )

@@ -70,6 +70,14 @@ DERIVED = {
         "last_order_date timestamp"
     ),
     "rollup_sources": "inputs string, month string",
+    "category_days": (
+        "sale_date date, category_id bigint, block bigint, units bigint, revenue_cents bigint, "
+        "gross_cents bigint, discount_cents bigint, orders bigint, products binary, month string"
+    ),
+    "category_days_inputs": "inputs string, month string",
+    "order_ranges": (
+        "directory string, version string, page_range int, rows bigint, first_row bigint, total bigint"
+    ),
     "check_ledger": "check_name string, violations bigint, inputs string, month string",
     "declared_months": "table_name string, month_start date",
     "run_events": f"attempt string, {model.RUN_EVENTS_SCHEMA}",
