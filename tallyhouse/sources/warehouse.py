@@ -9,6 +9,7 @@ died half way is simply repeated.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
@@ -23,6 +24,10 @@ LAYOUT = "_layout"
 NEXT = "__next"
 DEFAULT_SHARDS = 8
 STALE, ALL = "_stale", "all"
+STATISTICS = (
+    "column_name string, rows bigint, nulls bigint, low double, high double, low_text string, high_text string, "
+    "distinct_sketch binary, quantile_sketch binary, signature string, part string"
+)
 # Month tables whose digests are kept beside them.
 DIGESTED = ("orders", "order_items", "daily_sales")
 # Columns asked for by value that do not tell the partition: kept in Bloom filters.
@@ -84,6 +89,7 @@ DERIVED = {
     "watermarks": model.WATERMARK_SCHEMA,
     "check_results": f"attempt string, {model.CHECK_SCHEMA}",
     **{f"{table}_digests": DIGEST for table in DIGESTED},
+    **{f"{entity.name}_statistics": STATISTICS for entity in model.ENTITIES},
 }
 
 
@@ -239,6 +245,15 @@ class Warehouse:
         names = [status.getPath().getName() for status in fs.listStatus(path)]
         return sorted(n[len(prefix) :] for n in names if n.startswith(prefix))
 
+    def signatures(self, table: str, column: str) -> dict[str, str]:
+        """Per partition value a hash of its files' names and lengths, by listing folders only."""
+        found = {}
+        for value in self.partitions(table, column):
+            fs, path = self._folder(f"{self.path(table)}/{column}={value}")
+            files = sorted(f"{s.getPath().getName()} {s.getLen()}" for s in fs.listStatus(path))
+            found[value] = hashlib.sha256("\n".join(files).encode()).hexdigest()
+        return found
+
     def forget_digests(self, table: str, months: Sequence[str] | None) -> None:
         """Before months of a table change: mark their digests as out of date (None: all).
 
