@@ -146,6 +146,20 @@ def brute_logs(trusted: list[bytes], texts: list[bytes]) -> list[float]:
     return [sum(math.log(p(pad(t)[i : i + n])) for i in range(len(t))) for t in texts]
 
 
+def test_packed_grams_round_trip():
+    """Any order, both ends of the range, one n-gram and none."""
+    pick = np.random.default_rng(4)
+    for n in (0, 1, 2, 1000):
+        high = pick.integers(0, 1 << 24, n, dtype=np.uint64) << np.uint64(16)
+        grams = high | np.uint64(0x41 << 8) | pick.integers(0, 256, n, dtype=np.uint64)
+        if n > 1:
+            grams[:2] = [0xFFFFFF41FF, 0x0000004100]
+        for some in (grams, np.unique(grams)):
+            packed = quality._pack(some)
+            assert len(packed) == 4 * len(some)
+            assert quality._unpack(packed, 0x41).tolist() == some.tolist()
+
+
 def quality_rows() -> tuple[list, list]:
     rows, labels = [], []
     for i in range(120):
