@@ -244,3 +244,17 @@ def test_natural_keys(spark):
     assert {r.product_id: r[REASON] for r in got} == {
         1: None, 2: "duplicate_sku", 3: "duplicate_sku", 4: None, 5: None,
     }
+
+
+def test_rules_do_not_run_on_copied_parsing(spark):
+    """A filter on the reason stays above the parsing, also when the rows come from a join."""
+    columns = model.ORDER_ITEMS.source_columns
+    lines = spark.createDataFrame([("1",) * len(columns)], list(columns))
+    days = spark.createDataFrame([("1", "2026-01-01")], "order_id string, day string")
+    raw = lines.drop("order_date").join(days, "order_id").withColumnRenamed("day", "order_date")
+    classified = validate.classify(model.ORDER_ITEMS, raw)
+    parsing = [
+        df._jdf.queryExecution().optimizedPlan().toString().count("trim(")
+        for df in (classified, validate.accepted(classified), validate.rejected(classified))
+    ]
+    assert parsing[0] == parsing[1] == parsing[2] > 0
