@@ -20,6 +20,9 @@ from tallyhouse.sources.warehouse import Warehouse
 
 RANGES = "order_ranges"
 ROWS_PER_RANGE = 100_000
+# Up to ROWS_PER_RANGE rows each, a listing has no more ranges than this: each is a task,
+# whose result goes to the driver.
+RANGES_AT_MOST = 1_000
 # Columns added to the stored rows.
 RANGE, SLOT = "page_range", "page_slot"
 _SLOT_BITS = 33
@@ -34,6 +37,9 @@ def build(
 ) -> None:
     """Lay down ``df`` in ``order``, whose last column must make it total.
 
+    Ranges have about ``rows_per_range`` rows; of a listing that would have more than
+    ``RANGES_AT_MOST`` of them they grow with it, up to ``ROWS_PER_RANGE`` rows.
+
     Rows go to a folder of this version; the small table of ranges names the
     version and is switched last, so a reader sees one version or the other,
     and a build that died is a folder nobody reads. The version before is kept
@@ -44,7 +50,8 @@ def build(
     if {RANGE, SLOT} & set(df.columns):
         raise ValueError(f"the rows have a column {RANGE} or {SLOT} already")
     version = uuid.uuid4().hex
-    parts = max(1, -(-df.count() // rows_per_range))
+    rows = df.count()
+    parts = max(1, -(-rows // max(rows_per_range, min(ROWS_PER_RANGE, -(-rows // RANGES_AT_MOST)))))
     place = F.monotonically_increasing_id()
     laid = (
         df.repartitionByRange(parts, *order)

@@ -81,6 +81,17 @@ def test_a_deep_page_reads_its_ranges_only(spark, tmp_path):
     assert "PartitionFilters" in plan and "page_range" in plan and "Limit" not in plan
 
 
+def test_ranges_grow_with_the_listing(spark, tmp_path, monkeypatch):
+    """Small ranges of a large listing: no task and no result at the driver for each."""
+    monkeypatch.setattr(order_directory, "RANGES_AT_MOST", 5, raising=False)
+    warehouse = Warehouse(spark, str(tmp_path))
+    df = listing(spark, 1000)
+    order_directory.build(warehouse, "by_id", df, [F.col("id").desc()], rows_per_range=10)
+    assert warehouse.read("order_ranges").count() <= 5
+    got = order_directory.page(warehouse, "by_id", df, 60, 570).collect()
+    assert [r.id for r in got] == list(range(429, 369, -1))
+
+
 def test_directories_are_replaced_as_a_whole(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path))
     order = [F.col("id")]
