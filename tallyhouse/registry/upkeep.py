@@ -403,7 +403,7 @@ def _changed_category_days(spark: SparkSession, sf_dir: str) -> Warehouse:
 def sales_trends_from_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All five granularities and a subtree from the same stored rows, after months changed."""
     warehouse = _changed_category_days(spark, sf_dir)
-    days = warehouse.read("category_days")
+    days = warehouse.read("product_bits")
     closed = category_closure(warehouse.read("product_categories"))
     trends = {g: reports.sales_trends_stored(days, START, END, g) for g in reports.GRANULARITIES}
     trends["PROMO"] = reports.sales_trends_stored(

@@ -48,6 +48,18 @@ def test_bitmaps_of_nothing(spark):
         reports.sales_trends_stored(stored, "2026-01-01", "2026-02-01", "HOUR")
 
 
+def test_bitmaps_take_the_room_of_their_ids(spark):
+    """A bitmap is one number, so scattered ids need no 4 KB each and no sort by task."""
+    day = date(2026, 1, 1)
+    ids = [-65, -1, 0, 63, 64, 10**12, None]
+    stored = day_bitmaps.category_days(rollup(spark, [(day, p, 1) for p in ids]))
+    assert dict(stored.dtypes)["products"] == "bigint"
+    plan = day_bitmaps.trend(stored, F.col("sale_date"))._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+    row = reports.sales_trends_stored(stored, day, day).first()
+    assert (row.distinct_products, row.units_sold) == (6, 7)
+
+
 def listing(spark, n):
     pick = random.Random(n)
     rows = [(i, pick.choice([None, 1.0, 2.0, 3.0]), f"r{i}") for i in range(n)]
