@@ -156,3 +156,15 @@ def test_reports_without_a_period_take_the_last_days(spark):
             reports.sales_trends(rollup, *bad)
         with pytest.raises(ValueError):
             reports.top_products_by_category(rollup, products, categories, *bad)
+
+
+def test_digests_add_up_without_a_decimal_per_row(spark):
+    """The sum of signed hashes, exact beyond 64 bits, from whole-number sums per row."""
+    rows = spark.range(5000).select(F.col("id").alias("a"), F.when(F.col("id") % 7 > 0, F.lit("x")).alias("b"), F.lit("m").alias("month"))
+    made = digests.by_month(rows, ["a", "b"])
+    got = made.first()
+    hashes = [r[0] for r in rows.select(digests.row_hash(["a", "b"])).collect()]
+    assert (got.rows, int(got.hash_sum)) == (5000, sum(hashes))
+    assert dict(made.dtypes)["hash_sum"] == "decimal(38,0)"
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "as decimal(20,0))) AS" not in plan.split("Aggregate", 1)[1].split("bit_xor")[0]
