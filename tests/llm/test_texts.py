@@ -174,6 +174,24 @@ def test_repeated_runs_without_article(spark):
     assert got[3] == f"{shared}\n\n0 is the text of this page only"
 
 
+def test_repeated_runs_decide_outside_articles_too(spark):
+    shared = " ".join(f"s{i}" for i in range(12))
+    quoted = " ".join(f"q{i}" for i in range(12))
+    pages = [
+        (
+            "http://h/",
+            f"<div>{shared}</div><div><h1>{i} heads this page</h1><article><p>{quoted}</p><p>story {i}</p></article>"
+            f"<p>{i} has a second part</p></div><div class='ad'>ad {i}</div><p>{shared}</p>",
+        )
+        for i in range(3)
+    ]
+    # Cards in articles beside the text itself.
+    pages.append(("http://cards/", "<p>The text itself.</p><article>one card</article><article>another</article>"))
+    got = texts_of(spark, pages)
+    assert got[:3] == [f"{i} heads this page\n\n{quoted}\n\nstory {i}\n\n{i} has a second part" for i in range(3)]
+    assert got[3] == "The text itself.\n\none card\n\nanother"
+
+
 def test_copies_of_a_page_do_not_cover_each_other(spark):
     text = " ".join(f"w{i}" for i in range(40))
     got = texts_of(spark, [("http://h/a", f"<p>{text}</p>"), ("http://h/b", f"<p>{text}</p>"), ("http://h/c", "<p>c</p>")])
