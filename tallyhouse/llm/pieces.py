@@ -32,8 +32,8 @@ MODEL = "piece_bpe_32k.model"
 CACHED = 300_000
 PART = 20_000
 MARK = "▁"
-_PER_KEY = 3  # code points of 21 bits in one integer
-_FULL = (1 << 21) - 1
+KEY_BITS = 63
+POINTS = 0x110000
 
 
 class PieceCoder:
@@ -48,6 +48,8 @@ class PieceCoder:
         self.piece = {i: model.id_to_piece(i) for i in self.plain}
         self.ids = {p: i for i, p in self.piece.items()}
         self.scores = {self.piece[i]: model.get_score(i) for i in self.plain}
+        # When a piece comes about: the better the score, the earlier; characters are there first.
+        self.times = {p: -s if len(p) > 1 else -math.inf for p, s in self.scores.items()}
         self.byte_ids = [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.longest = max(map(len, self.ids))
         if any(MARK in p.lstrip(MARK) for p in self.ids):
@@ -58,7 +60,9 @@ class PieceCoder:
             self.data[i] = p.replace(MARK, " ").encode()
         for b, i in enumerate(self.byte_ids):
             self.data[i] = bytes([b])
-        self._piece_keys()
+        self.lengths = np.array([len(self.piece[i]) for i in self.plain])
+        self.points = np.zeros((len(self.plain), self.longest), np.int64)
+        self.points[np.arange(self.longest) < self.lengths[:, None]] = [ord(c) for i in self.plain for c in self.piece[i]]
         self.halves: dict[str, tuple[str, str] | None] = {}
         self.pairs: dict[int, bool] = {}
         # Words of late and, before them, of earlier batches: what is in use stays.
@@ -81,10 +85,6 @@ class PieceCoder:
             last = parts[i], parts[i + 1]
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
 
-    def _time(self, piece: str) -> float:
-        """When a piece comes about: the better the score, the earlier; characters are there first."""
-        return -self.scores[piece] if len(piece) > 1 else -math.inf
-
     def _halves(self, piece: str) -> tuple[str, str] | None:
         """What a piece is merged from; ("", "") if never, None if its parts are not older than it."""
         found = self.halves.get(piece, False)
@@ -97,7 +97,7 @@ class PieceCoder:
             out = ("", "")
             if parts == [piece]:
                 whole = self._halves(last[0]), self._halves(last[1])
-                older = max(map(self._time, last)) < self._time(piece)
+                older = max(map(self.times.__getitem__, last)) < self.times[piece]
                 out = last if older and None not in whole else None
         self.halves[piece] = out
         return out
@@ -121,52 +121,48 @@ class PieceCoder:
         whether a merge across the border would have come first. Of merges of equal
         score the left one comes first.
         """
-        whole = self._halves(a), self._halves(b)
+        halves, scores = self.halves, self.scores
+        whole = halves.get(a) or self._halves(a), halves.get(b) or self._halves(b)
         if ("", "") in whole:
             return False
         if None in whole:
             return self._merged(a + b)[0] == [a, b]
         before, also = math.inf, False
+        from_a, from_b = self.times[a], self.times[b]
         while True:
-            across = a + b
-            if across in self.scores and ((time := -self.scores[across]) < before or also and time == before):
+            score = scores.get(a + b)
+            if score is not None and (-score < before or also and -score == before):
                 return False
-            if len(a) == 1 and len(b) == 1:
-                return True
-            if self._time(a) > self._time(b):
-                before, also, a = self._time(a), False, self._halves(a)[1]
+            if from_a > from_b:
+                before, also, a = from_a, False, halves[a][1]
+                from_a = self.times[a]
+            elif from_b > -math.inf:
+                before, also, b = from_b, True, halves[b][0]
+                from_b = self.times[b]
             else:
-                before, also, b = self._time(b), True, self._halves(b)[0]
+                return True
 
     # --- suffix array and piece ranges ------------------------------------
 
-    def _piece_keys(self) -> None:
-        """Lowest and highest key of each piece, ``_PER_KEY`` characters at a time."""
-        width = -(-self.longest // _PER_KEY)
-        self.low = np.zeros((width, len(self.plain)), np.int64)
-        self.high = np.zeros((width, len(self.plain)), np.int64)
-        for j, i in enumerate(self.plain):
-            codes = [ord(c) for c in self.piece[i]]
-            for k in range(width):
-                part = codes[k * _PER_KEY : (k + 1) * _PER_KEY]
-                for fill, out in ((0, self.low), (_FULL, self.high)):
-                    value = 0
-                    for c in [*part, *[fill] * (_PER_KEY - len(part))]:
-                        value = value << 21 | c
-                    out[k, j] = value
-
-    def _suffixes(self, codes: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-        """Suffix array of the text, as deep as the longest piece, with its sort keys."""
-        width = self.low.shape[0]
-        padded = np.concatenate([codes, np.zeros(width * _PER_KEY, np.int64)])
-        n = len(codes)
+    @staticmethod
+    def _keys(codes: np.ndarray, bits: int) -> list[np.ndarray]:
+        """The columns of a matrix of codes, as many to an integer as their bits allow."""
+        per = KEY_BITS // bits
         keys = []
-        for k in range(width):
-            at = k * _PER_KEY
-            key = np.zeros(n, np.int64)
-            for c in range(_PER_KEY):
-                key = key << 21 | padded[at + c : at + c + n]
+        for at in range(0, codes.shape[1], per):
+            key = np.zeros(len(codes), np.int64)
+            for c in range(at, at + per):
+                key <<= bits
+                if c < codes.shape[1]:
+                    key |= codes[:, c]
             keys.append(key)
+        return keys
+
+    def _suffixes(self, codes: np.ndarray, bits: int) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Suffix array of the text, as deep as the longest piece, with its sort keys."""
+        padded = np.concatenate([codes, np.zeros(self.longest, np.int64)])
+        windows = np.lib.stride_tricks.sliding_window_view(padded, self.longest)[: len(codes)]
+        keys = self._keys(windows, bits)
         order = np.lexsort(keys[::-1])
         return order, [k[order] for k in keys]
 
@@ -184,14 +180,23 @@ class PieceCoder:
 
     def _edges(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Start, end and piece of every occurrence of every piece."""
-        order, keys = self._suffixes(codes)
+        # The text's own characters are numbered, so that a key holds many of them.
+        found = np.unique(codes)
+        found = found[found > 0]
+        bits = max(1, len(found).bit_length())
+        number = np.zeros(POINTS, np.int64)
+        number[found] = np.arange(1, len(found) + 1)
+        order, keys = self._suffixes(number[codes], bits)
+        points, lengths = number[self.points], self.lengths
+        beyond = np.arange(self.longest) >= lengths[:, None]
+        low, high = self._keys(points, bits), self._keys(np.where(beyond, (1 << bits) - 1, points), bits)
         lo = np.zeros(len(self.plain), np.int64)
-        hi = np.full(len(self.plain), len(codes), np.int64)
-        lengths = np.array([len(self.piece[i]) for i in self.plain])
+        hi = np.where(((points == 0) & ~beyond).any(axis=1), 0, len(codes))
+        per = KEY_BITS // bits
         for k, key in enumerate(keys):
-            live = np.flatnonzero((lengths > k * _PER_KEY) & (lo < hi))
-            first = self._bound(key, lo[live], hi[live], self.low[k, live], right=False)
-            hi[live] = self._bound(key, lo[live], hi[live], self.high[k, live], right=True)
+            live = np.flatnonzero((lengths > k * per) & (lo < hi))
+            first = self._bound(key, lo[live], hi[live], low[k][live], right=False)
+            hi[live] = self._bound(key, lo[live], hi[live], high[k][live], right=True)
             lo[live] = first
         count = np.maximum(hi - lo, 0)
         which = np.repeat(np.arange(len(count)), count)
@@ -208,10 +213,11 @@ class PieceCoder:
         sizes = np.array([len(w) for w in words])
         begins = np.cumsum(sizes + 1) - sizes - 1
         starts, ends, ids = self._edges(codes)
-        home = np.searchsorted(begins, starts, "right") - 1
+        home = np.repeat(np.arange(len(sizes)), sizes + 1)[starts]
         # Edges by the end's place in its word: a step relaxes one place of all words.
         place = ends - begins[home]
-        order = np.argsort(place, kind="stable")
+        # Small integers are sorted by radix.
+        order = np.argsort(place.astype(np.min_scalar_type(int(sizes.max(initial=0)))), kind="stable")
         starts, ends, ids, home, place = (x[order] for x in (starts, ends, ids, home, place))
         last = np.full(len(codes) + 1, -2, np.int64)  # -2: no piece ends here (a byte character)
         source = np.arange(-1, len(codes), dtype=np.int64)
@@ -266,8 +272,11 @@ class PieceCoder:
         """Words with the space marks before them; their concatenation is the marked text."""
         if not text:
             return []
+        parts = text.replace(MARK, " ").split(" ")
+        if "" not in parts:
+            return [MARK + part for part in parts]
         out, marks = [], ""
-        for part in text.replace(MARK, " ").split(" "):
+        for part in parts:
             marks += MARK
             if part:
                 out.append(marks + part)

@@ -68,6 +68,19 @@ def test_pieces_equal_the_library_and_round_trip():
         assert coder.decode(ids) == text.replace(pieces.MARK, " ")
 
 
+def test_sort_keys_hold_many_characters():
+    model = public_tokenizers.path(pieces.MODEL)
+    coder, library = pieces.PieceCoder(model), sentencepiece.SentencePieceProcessor(model_file=model)
+    seen = []
+    suffixes = coder._suffixes
+    coder._suffixes = lambda *args: seen.append(found := suffixes(*args)) or found
+    texts = ["plain words of few letters", "".join(map(chr, range(0x4E00, 0x4E00 + 3000))), "a\0b \U0010ffff  x"]
+    assert [coder.encode([t])[0] for t in texts] == [library.encode(t) for t in texts]
+    plain, han, _ = (len(keys) for _, keys in seen)
+    # Five bits a character, and twelve.
+    assert plain <= -(-coder.longest // 12) and han <= -(-coder.longest // 5)
+
+
 def test_pieces_of_odd_rows(odd, spark):
     rows = pieces.round_trip(odd.withColumn("pieces", F.lit("clash"))).collect()
     assert len(rows) == len(ODD) and all(r["exact"] for r in rows)
