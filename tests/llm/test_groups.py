@@ -284,3 +284,49 @@ def test_toxic_text_is_not_trusted(spark):
     marks = spark.createDataFrame([(i, 1, 1) for i in range(20)], "doc_id long, quality int, toxic int")
     got = quality.quality_scores(docs, marks).collect()
     assert all(r["accepted"] and r["highest"] is None for r in got)
+
+
+def test_near_copies_below_the_threshold_stay_out_of_the_pairs(docs, monkeypatch):
+    """Copies that each lost some words make no pairs of all with all; the links among them stay."""
+    rng = random.Random(5)
+    base = sentence(200)
+    rows = []
+    for i in range(60):
+        own = list(base)
+        for k in rng.sample(range(200), 5):
+            own[k] = f"own{i}x{k}"
+        rows.append((i, " ".join(own)))
+    rows.append((60, rows[7][1] + " and one"))
+    alike = [
+        100 * len(x & y) / len(x | y)
+        for (i, x), (j, y) in ((a, b) for a in enumerate(shingles(t) for _, t in rows) for b in enumerate(shingles(t) for _, t in rows))
+        if i < j
+    ]
+    assert sum(65 <= a < 73 for a in alike) > 200
+    held = []
+    confirmed = near_duplicates._confirmed
+
+    def counted(pairs, sets, percent):
+        held.append(pairs.count())
+        return confirmed(pairs, sets, percent)
+
+    monkeypatch.setattr(near_duplicates, "_confirmed", counted)
+    got = {r["doc_id"]: r["component_id"] for r in near_duplicates.near_duplicates(docs(rows), 80).collect()}
+    links = sum(a >= 80 for a in alike)
+    assert links == 1 and got == {i: 7 if i == 60 else i for i in range(61)}
+    assert held[1] <= sum(a >= 72 for a in alike), (held, len(alike))
+
+
+def test_bits_estimate_similarity():
+    left = near_duplicates.shingle_hashes(near_duplicates.words_hashed(" ".join(map(str, range(2000)))), 5)
+    right = near_duplicates.shingle_hashes(near_duplicates.words_hashed(" ".join(map(str, range(200, 2200)))), 5)
+    same = len(np.intersect1d(left, right)) / len(np.union1d(left, right))
+    changed = (near_duplicates.bits(left) ^ near_duplicates.bits(right)).view(np.uint64)
+    differing = sum(int(v).bit_count() for v in changed)
+    assert abs(1 - 2 * differing / near_duplicates.BITS - same) < 0.06
+    for percent in (70, 75, 80, 85, 90):
+        p = (1 - percent / 100) / 2
+        for n in (near_duplicates.FIRST_BITS, near_duplicates.BITS):
+            most = near_duplicates.differ_bits(percent, n)
+            spread = (most - n * p) / math.sqrt(n * p * (1 - p))
+            assert 4.9 <= spread < 5.1
