@@ -201,3 +201,26 @@ def test_stream_loads_new_files_once(spark, loaded, data, tmp_path):
     assert [(r.extracted, r.inserted, r.updated) for r in reports] == [(20, 20, 0), (30, 20, 10)]
     assert reports[1].late == 10
     assert warehouse.read("orders").count() == 40
+
+
+def test_staged_rows_carry_source_text_for_a_quarantine_only(spark, source, tmp_path, monkeypatch):
+    """Without a folder for rejects nobody reads the text; with one every row still has it."""
+    from tallyhouse.operators.validate import RAW
+    from tallyhouse.plans import load
+
+    texts = []
+    whole = load._load_staged
+
+    def seen(warehouse, entity, staged, *rest):
+        texts.append((staged.count(), staged.filter(F.col(RAW).isNotNull()).count()))
+        return whole(warehouse, entity, staged, *rest)
+
+    monkeypatch.setattr(load, "_load_staged", seen)
+    reports = []
+    for n, folder in enumerate((None, str(tmp_path / "rejects"))):
+        warehouse = Warehouse(spark, str(tmp_path / f"wh{n}"), 2)
+        raw = csv_source.read(spark, model.CUSTOMERS, source)
+        reports.append(load_entity(warehouse, model.CUSTOMERS, raw, 7, job.utc_now(), reject_dir=folder))
+    (rows, without), (again, kept) = texts
+    assert rows == again == kept > 0 and without == 0
+    assert reports[0].inserted == reports[1].inserted == rows
