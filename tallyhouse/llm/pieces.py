@@ -9,15 +9,16 @@ the prefix it starts from, when both are merged as the model merges. Characters
 without a piece become byte pieces.
 
 No piece of the model has a space mark behind another character, so words (with
-the marks before them) are encoded apart, each distinct word once per task's
-cache. Null and empty texts have no pieces; repeated rows give repeated results;
-columns other than the id and the text are ignored.
+the marks before them) are encoded apart, each distinct word once per worker's
+cache, which goes when the worker gets other work. Null and empty texts have no
+pieces; repeated rows give repeated results; columns other than the id and the text
+are ignored.
 """
 
 from __future__ import annotations
 
 import math
-from functools import lru_cache
+from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -26,7 +27,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, functions as F
 
-from tallyhouse.llm.base import map_batches
+from tallyhouse.llm.base import kept, map_batches
 
 MODEL = "piece_bpe_32k.model"
 CACHED = 300_000
@@ -36,6 +37,11 @@ KEY_BITS = 63
 POINTS = 0x110000
 
 
+def _kind(n: int) -> type:
+    """Integers for up to n places, as small as fits."""
+    return np.int32 if n < 1 << 31 else np.int64
+
+
 class PieceCoder:
     """Encodes and decodes with one byte-fallback BPE model file."""
 
@@ -66,8 +72,9 @@ class PieceCoder:
         self.halves: dict[str, tuple[str, str] | None] = {}
         self.pairs: dict[int, bool] = {}
         # Words of late and, before them, of earlier batches: what is in use stays.
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.earlier: dict[str, tuple[int, ...]] = {}
+        # Ids take four bytes each.
+        self.words: dict[str, bytes] = {}
+        self.earlier: dict[str, bytes] = {}
 
     # --- merging, for single pieces and pairs ------------------------------
 
@@ -160,7 +167,7 @@ class PieceCoder:
 
     def _suffixes(self, codes: np.ndarray, bits: int) -> tuple[np.ndarray, list[np.ndarray]]:
         """Suffix array of the text, as deep as the longest piece, with its sort keys."""
-        padded = np.concatenate([codes, np.zeros(self.longest, np.int64)])
+        padded = np.concatenate([codes, np.zeros(self.longest, codes.dtype)])
         windows = np.lib.stride_tricks.sliding_window_view(padded, self.longest)[: len(codes)]
         keys = self._keys(windows, bits)
         order = np.lexsort(keys[::-1])
@@ -184,7 +191,7 @@ class PieceCoder:
         found = np.unique(codes)
         found = found[found > 0]
         bits = max(1, len(found).bit_length())
-        number = np.zeros(POINTS, np.int64)
+        number = np.zeros(POINTS, np.int32)
         number[found] = np.arange(1, len(found) + 1)
         order, keys = self._suffixes(number[codes], bits)
         points, lengths = number[self.points], self.lengths
@@ -199,35 +206,39 @@ class PieceCoder:
             hi[live] = self._bound(key, lo[live], hi[live], high[k][live], right=True)
             lo[live] = first
         count = np.maximum(hi - lo, 0)
-        which = np.repeat(np.arange(len(count)), count)
-        inside = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
-        starts = order[lo[which] + inside]
-        return starts, starts + lengths[which], np.asarray(self.plain)[which]
+        total = int(count.sum())
+        kind = _kind(max(total, len(codes) + self.longest))
+        # The k-th occurrence of all is a piece's suffix at lo and as many on as it has before it.
+        at = np.arange(total, dtype=kind) + np.repeat((lo - np.cumsum(count) + count).astype(kind), count)
+        starts = order.astype(kind)[at]
+        ends = starts + np.repeat(lengths.astype(kind), count)
+        return starts, ends, np.repeat(np.asarray(self.plain, np.int32), count)
 
     # --- relaxation --------------------------------------------------------
 
-    def _encode_words(self, words: list[str]) -> list[tuple[int, ...]]:
+    def _encode_words(self, words: list[str]) -> list[bytes]:
         """Ids of words that share no cache entry yet."""
         text = "\0".join(words)
-        codes = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.int64)
+        codes = np.frombuffer(text.encode("utf-32-le"), np.int32)
         sizes = np.array([len(w) for w in words])
-        begins = np.cumsum(sizes + 1) - sizes - 1
         starts, ends, ids = self._edges(codes)
-        home = np.repeat(np.arange(len(sizes)), sizes + 1)[starts]
+        begins = (np.cumsum(sizes + 1) - sizes - 1).astype(starts.dtype)
+        home = np.repeat(np.arange(len(sizes), dtype=starts.dtype), sizes + 1)[starts]
         # Edges by the end's place in its word: a step relaxes one place of all words.
-        place = ends - begins[home]
         # Small integers are sorted by radix.
-        order = np.argsort(place.astype(np.min_scalar_type(int(sizes.max(initial=0)))), kind="stable")
+        place = (ends - begins[home]).astype(np.min_scalar_type(int(sizes.max(initial=0))))
+        order = np.argsort(place, kind="stable")
         starts, ends, ids, home, place = (x[order] for x in (starts, ends, ids, home, place))
-        last = np.full(len(codes) + 1, -2, np.int64)  # -2: no piece ends here (a byte character)
-        source = np.arange(-1, len(codes), dtype=np.int64)
+        del order
+        last = np.full(len(codes) + 1, -2, np.int32)  # -2: no piece ends here (a byte character)
+        source = np.arange(-1, len(codes), dtype=starts.dtype)
         cuts = np.searchsorted(place, np.arange(1, int(sizes.max(initial=0)) + 2))
         for lo, hi in zip(cuts, cuts[1:]):
             if hi == lo:
                 continue
             s, e, t = starts[lo:hi], ends[lo:hi], ids[lo:hi]
             before = np.where(s == begins[home[lo:hi]], -1, last[s])
-            pairs, where = np.unique((np.maximum(before, -1) + 1) << 32 | t, return_inverse=True)
+            pairs, where = np.unique((np.maximum(before, -1).astype(np.int64) + 1) << 32 | t, return_inverse=True)
             stays = self._known(pairs.tolist())[where]
             last[e[stays]] = t[stays]
             source[e[stays]] = s[stays]
@@ -239,7 +250,7 @@ class PieceCoder:
             found = [self._stays((k >> 32) - 1, k & 0xFFFFFFFF) if v is None else v for k, v in zip(keys, found)]
         return np.array(found, bool)
 
-    def _trace(self, text: str, sizes, begins, last, source) -> list[tuple[int, ...]]:
+    def _trace(self, text: str, sizes, begins, last, source) -> list[bytes]:
         """Follow the sources back from the end of every word, all words at once."""
         words = np.flatnonzero(sizes > 0)
         at = (begins + sizes)[words]
@@ -250,19 +261,19 @@ class PieceCoder:
             more = at > begins[words]
             words, at = words[more], at[more]
         if not found:
-            return [()] * len(sizes)
+            return [b""] * len(sizes)
         # The last step found is a word's first piece.
         word, token, end = (np.concatenate(x) for x in zip(*found[::-1]))
         order = np.argsort(word, kind="stable")
         word, token, end = word[order], token[order], end[order]
         bounds = np.cumsum(np.bincount(word, minlength=len(sizes))).tolist()
-        ids = token.tolist()
-        out = [tuple(ids[lo:hi]) for lo, hi in zip([0, *bounds], bounds)]
+        packed = token.astype(np.int32).tobytes()
+        out = [packed[4 * lo : 4 * hi] for lo, hi in zip([0, *bounds], bounds)]
         for w in np.unique(word[token < 0]).tolist():
-            pairs = zip(out[w], end[bounds[w] - len(out[w]) : bounds[w]].tolist())
-            out[w] = tuple(
-                chain.from_iterable((t,) if t >= 0 else (self.byte_ids[b] for b in text[e - 1].encode()) for t, e in pairs)
-            )
+            own = slice(bounds[w] - len(out[w]) // 4, bounds[w])
+            pairs = zip(token[own].tolist(), end[own].tolist())
+            ids = chain.from_iterable((t,) if t >= 0 else (self.byte_ids[b] for b in text[e - 1].encode()) for t, e in pairs)
+            out[w] = np.fromiter(ids, np.int32).tobytes()
         return out
 
     # --- texts ---------------------------------------------------------------
@@ -284,11 +295,16 @@ class PieceCoder:
         return [*out, marks] if marks else out
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        split = [self.words_of(t) for t in texts]
+        return [ids.tolist() for ids in self.encoded(texts)]
+
+    def encoded(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """Ids of one text after the other; texts are split twice, so that their words aren't held all at once."""
         if len(self.words) >= CACHED // 2:
             self.words, self.earlier = {}, self.words
         known = self.words
-        missing = set(chain.from_iterable(split)).difference(known)
+        missing: set[str] = set()
+        for t in texts:
+            missing.update(w for w in self.words_of(t) if w not in known)
         kept = missing & self.earlier.keys()
         known.update((w, self.earlier[w]) for w in kept)
         new = list(missing - kept)
@@ -297,22 +313,22 @@ class PieceCoder:
         for at in range(0, len(new), PART):
             part = new[at : at + PART]
             known.update(zip(part, self._encode_words(part)))
-        return [list(chain.from_iterable(map(known.__getitem__, words))) for words in split]
+        for t in texts:
+            yield np.frombuffer(b"".join(map(known.__getitem__, self.words_of(t))), np.int32)
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: Iterable[int]) -> str:
         """The text of ids; the mark before the first word is no space of the text."""
         text = b"".join(map(self.data.__getitem__, ids)).decode("utf-8", "replace")
         return text[1:] if text.startswith(" ") else text
 
 
-@lru_cache(maxsize=2)
 def coder(path: str) -> PieceCoder:
-    return PieceCoder(path)
+    return kept(f"pieces {path}", lambda: PieceCoder(path))
 
 
-def _lists(ids: list[list[int]]) -> pa.ListArray:
+def _lists(ids: list[np.ndarray]) -> pa.ListArray:
     offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-    return pa.ListArray.from_arrays(offsets, np.fromiter(chain.from_iterable(ids), np.int32, int(offsets[-1])))
+    return pa.ListArray.from_arrays(offsets, np.concatenate(ids) if ids else np.zeros(0, np.int32))
 
 
 def encode(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -323,7 +339,7 @@ def encode(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", text_col
         pieces = coder(public_tokenizers.path(model))
 
         def work(batch: pa.RecordBatch) -> dict[str, object]:
-            ids = pieces.encode([t or "" for t in batch.column("text").to_pylist()])
+            ids = list(pieces.encoded([t or "" for t in batch.column("text").to_pylist()]))
             return {"doc_id": batch.column("doc_id"), "n_pieces": [len(x) for x in ids], "pieces": _lists(ids)}
 
         return work
@@ -356,12 +372,12 @@ def round_trip(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", text
 
         def work(batch: pa.RecordBatch) -> dict[str, object]:
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            ids = pieces.encode(texts)
+            ids = list(pieces.encoded(texts))
             return {
                 "doc_id": batch.column("doc_id"),
                 "n_pieces": [len(x) for x in ids],
                 "pieces": _lists(ids),
-                "exact": [pieces.decode(x) == t for x, t in zip(ids, texts)],
+                "exact": [pieces.decode(x.tolist()) == t for x, t in zip(ids, texts)],
             }
 
         return work

@@ -41,7 +41,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tallyhouse.llm.base import hinted, ship, stored
+from tallyhouse.llm.base import hinted, let_go, ship, stored
 
 ORDER = 5
 PRIOR = 200
@@ -150,6 +150,7 @@ def _counted(rows: DataFrame) -> DataFrame:
     """(part, fold, lang, shard, grams, counts): the n-grams of each task's texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         held: dict[tuple, list] = defaultdict(lambda: [[], []])
         size = 0
 
@@ -269,6 +270,7 @@ def _statistics(model: DataFrame) -> tuple[dict, dict]:
 
 def _done(table: pa.Table) -> pa.Table:
     """A group's result; what the group held goes back to the system before the next one."""
+    let_go()
     pa.default_memory_pool().release_unused()
     return table
 

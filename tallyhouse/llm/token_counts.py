@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import json
 from bisect import bisect_left
-from functools import lru_cache
 from itertools import accumulate
 
 import numpy as np
@@ -24,7 +23,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyhouse.llm.base import map_batches
+from tallyhouse.llm.base import kept, map_batches
 
 VOCABULARY = "byte_bpe_50k.json"
 LIMIT = 1024
@@ -224,9 +223,8 @@ class PrefixCounter:
         return sum(map(self.total, PIECES.findall(part)))
 
 
-@lru_cache(maxsize=2)
 def counter(path: str) -> PrefixCounter:
-    return PrefixCounter(path)
+    return kept(f"tokens {path}", lambda: PrefixCounter(path))
 
 
 def token_counts(

@@ -1,7 +1,10 @@
 from __future__ import annotations
 
 import random
+import sys
+import tracemalloc
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -81,6 +84,26 @@ def test_sort_keys_hold_many_characters():
     assert plain <= -(-coder.longest // 12) and han <= -(-coder.longest // 5)
 
 
+def test_cached_words_take_little_memory():
+    model = public_tokenizers.path(pieces.MODEL)
+    coder, library = pieces.PieceCoder(model), sentencepiece.SentencePieceProcessor(model_file=model)
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefghijklmnop\x01日") for _ in range(12)) for _ in range(3000)]
+    tracemalloc.start()
+    try:
+        coder._encode_words([pieces.MARK + w for w in words[:10]])
+        before = tracemalloc.get_traced_memory()[0]
+        held = coder._encode_words([pieces.MARK + w for w in words])
+        grown = tracemalloc.get_traced_memory()[0] - before
+        pairs = sys.getsizeof(coder.pairs) + 32 * len(coder.pairs)
+    finally:
+        tracemalloc.stop()
+    want = library.encode(words)
+    assert [np.frombuffer(x, np.int32).tolist() for x in held] == want
+    # Four bytes an id and some fifty a word, beside what is known of pairs.
+    assert grown - pairs < 4 * sum(map(len, want)) + 80 * len(words) + (1 << 18), (grown, pairs)
+
+
 def test_pieces_of_odd_rows(odd, spark):
     rows = pieces.round_trip(odd.withColumn("pieces", F.lit("clash"))).collect()
     assert len(rows) == len(ODD) and all(r["exact"] for r in rows)
