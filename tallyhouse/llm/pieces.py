@@ -30,8 +30,10 @@ from pyspark.sql import DataFrame, functions as F
 from tallyhouse.llm.base import kept, map_batches
 
 MODEL = "piece_bpe_32k.model"
-CACHED = 300_000
+CACHED = 100_000
+PAIRS = 600_000
 PART = 20_000
+TEXTS = 250
 MARK = "▁"
 KEY_BITS = 63
 POINTS = 0x110000
@@ -299,22 +301,29 @@ class PieceCoder:
 
     def encoded(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Ids of one text after the other; texts are split twice, so that their words aren't held all at once."""
+        for at in range(0, len(texts), TEXTS):
+            some = texts[at : at + TEXTS]
+            known = self._learned(some)
+            for t in some:
+                yield np.frombuffer(b"".join(map(known.__getitem__, self.words_of(t))), np.int32)
+
+    def _learned(self, texts: list[str]) -> dict[str, bytes]:
+        """The cache, with all words of these texts in it."""
         if len(self.words) >= CACHED // 2:
             self.words, self.earlier = {}, self.words
         known = self.words
         missing: set[str] = set()
         for t in texts:
             missing.update(w for w in self.words_of(t) if w not in known)
-        kept = missing & self.earlier.keys()
-        known.update((w, self.earlier[w]) for w in kept)
-        new = list(missing - kept)
-        if len(self.pairs) >= 2 * CACHED:
+        again = missing & self.earlier.keys()
+        known.update((w, self.earlier[w]) for w in again)
+        new = list(missing - again)
+        if len(self.pairs) >= PAIRS:
             self.pairs.clear()
         for at in range(0, len(new), PART):
             part = new[at : at + PART]
             known.update(zip(part, self._encode_words(part)))
-        for t in texts:
-            yield np.frombuffer(b"".join(map(known.__getitem__, self.words_of(t))), np.int32)
+        return known
 
     def decode(self, ids: Iterable[int]) -> str:
         """The text of ids; the mark before the first word is no space of the text."""

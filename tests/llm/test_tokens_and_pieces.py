@@ -104,6 +104,15 @@ def test_cached_words_take_little_memory():
     assert grown - pairs < 4 * sum(map(len, want)) + 80 * len(words) + (1 << 18), (grown, pairs)
 
 
+def test_a_large_batch_turns_the_cache_over(monkeypatch):
+    model = public_tokenizers.path(pieces.MODEL)
+    coder, library = pieces.PieceCoder(model), sentencepiece.SentencePieceProcessor(model_file=model)
+    monkeypatch.setattr(pieces, "CACHED", 400)
+    texts = [f"word{i} other{i} again{i % 7}" for i in range(1000)]
+    assert coder.encode(texts) == library.encode(texts)
+    assert len(coder.words) < 1000 and len(coder.earlier) < 1000
+
+
 def test_pieces_of_odd_rows(odd, spark):
     rows = pieces.round_trip(odd.withColumn("pieces", F.lit("clash"))).collect()
     assert len(rows) == len(ODD) and all(r["exact"] for r in rows)
